@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsim.sources.corpus import CorpusTable
@@ -19,7 +20,11 @@ def stream_into_corpus(
     """
 
     def append(batch: DataFrame, _batch_id: int) -> None:
-        stored = corpus.read().select("id")
+        span = batch.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+        if span["low"] is None:
+            return
+        # the id range reaches the Parquet scan and skips most of the stored files
+        stored = corpus.read().where(F.col("id").between(span["low"], span["high"])).select("id")
         corpus.save(ingest_documents(batch).join(stored, "id", "left_anti"))
 
     writer = documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
