@@ -8,18 +8,12 @@ out, so Spark's partitioning is untouched and nothing is shuffled.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-# the functions travel with the job, so executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 OVERLAP_FIELDS = (
     "dot", "shared_a", "shared_b", "total_a", "total_b",
     "common", "distinct_a", "distinct_b", "length_a", "length_b",

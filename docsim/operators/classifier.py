@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from docsim.functions.rounding import round_even
 from docsim.functions.text import is_blank
 from docsim.operators import features as X
 from docsim.operators.evaluation import confusion_counts, rounded_class, with_class_metrics
+from docsim.operators.logistic import fit_logistic
 from docsim.operators.pairs import evaluable, with_prepared, with_set_measures
 from docsim.operators.splitting import stratified_split
 from docsim.session import written
@@ -21,7 +21,6 @@ MODEL_NAME = "TF-IDF + Logistic Regression con características de comparación"
 PREDICTED_POSITIVE = "Plagio / similar"
 PREDICTED_NEGATIVE = "No plagio / no similar"
 MIN_TRAINING_PAIRS = 100
-MAX_ITERATIONS = 1500
 NOT_ENOUGH_DATA = "No hay suficientes datos para entrenar el modelo."
 
 
@@ -41,28 +40,20 @@ def training_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def fit_classifier(
-    vectors: DataFrame, vocabulary: DataFrame, size: int, name: str = MODEL_NAME
+    rows: DataFrame, vocabulary: DataFrame, size: int, name: str = MODEL_NAME
 ) -> PairModel:
-    """Logistic regression with balanced class weights.
-
-    With weights n / (2 n_class), which sum to n, regParam = 1/n is the usual C = 1.
-    """
-    spark = vectors.sparkSession
-    totals = {row["label"]: row["n"] for row in vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Logistic regression with C = 1 and balanced class weights n / (2 n_class)."""
+    spark = rows.sparkSession
+    totals = {
+        row["label"]: row["n"]
+        for row in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
     n = sum(totals.values())
     weight = F.lit(None).cast("double")
     for label, count in totals.items():
         weight = F.when(F.col("label") == label, F.lit(n / (2.0 * count))).otherwise(weight)
-    weighted = vectors.select(F.col("label").cast("double").alias("label"), "features", weight.alias("weight"))
-    fitted = LogisticRegression(
-        maxIter=MAX_ITERATIONS,
-        regParam=1.0 / n,
-        elasticNetParam=0.0,
-        standardization=False,
-        weightCol="weight",
-        family="binomial",
-    ).fit(weighted)
-    coefs = fitted.coefficients.toArray()
+    weighted = rows.select("label", weight.alias("weight"), "indices", "values")
+    coefs, intercept = fit_logistic(weighted, n, 2 * size + len(X.NUMERIC_FEATURES))
     # the coefficients are as many as the fixed vocabulary size allows
     table = spark.createDataFrame(
         [(k, float(coefs[k]), float(coefs[size + k])) for k in range(size)],
@@ -71,7 +62,7 @@ def fit_classifier(
     with_coefs = vocabulary.select("term", "idx", "idf").join(F.broadcast(table), "idx")
     return PairModel(
         vocabulary=written(with_coefs, "model"),
-        intercept=float(fitted.intercept),
+        intercept=intercept,
         numeric_coefs={
             feature: float(coefs[2 * size + k]) for k, feature in enumerate(X.NUMERIC_FEATURES)
         },
@@ -174,10 +165,10 @@ def train_model(
     train = split.where(~F.col("is_test")).drop("is_test")
     test = split.where("is_test").drop("is_test")
     vocabulary = X.written_vocabulary(X.pair_texts(train), "processed", size)
-    vectors = written(
-        X.feature_vectors(train, vocabulary, size, id_col).select("label", "features"), "features"
+    rows = written(
+        X.feature_rows(train, vocabulary, size, id_col).select("label", "indices", "values"), "features"
     )
-    model = fit_classifier(vectors, vocabulary, size)
+    model = fit_classifier(rows, vocabulary, size)
     metrics = test_metrics(
         decision_values(test, model, id_col), train.count(), test.count(), dataset_name, model.name
     )

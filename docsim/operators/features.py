@@ -134,19 +134,16 @@ def pair_term_features(
     )
 
 
-def feature_vectors(
+def feature_rows(
     prepared: DataFrame,
     vocabulary: DataFrame,
     size: int = VOCABULARY_SIZE,
     id_col: str = "pair_id",
 ) -> DataFrame:
-    """``id_col``, other columns of the pair, and ``features``: a sparse vector 2 * size + 4 wide.
+    """The pairs with their features as a sparse row, ``indices`` and ``values``.
 
-    The vector is built by Spark itself from its JSON form, without a Python worker.
+    The feature space is 2 * size + 4 wide: differences, products, then the four numbers.
     """
-    from pyspark.ml.linalg import VectorUDT
-    from pyspark.sql import types as Ty
-
     terms = (
         pair_term_features(prepared, vocabulary, id_col)
         .groupBy(id_col)
@@ -167,9 +164,9 @@ def feature_vectors(
     different = F.filter("terms", lambda x: x["difference"] != 0)
     numbers = F.array(*[F.col(name) for name in NUMERIC_FEATURES])
     places = F.array(*[F.lit(2 * size + k) for k in range(len(NUMERIC_FEATURES))])
-    vector = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        F.lit(2 * size + len(NUMERIC_FEATURES)).alias("size"),
+    return measured.select(
+        *prepared.columns,
+        *NUMERIC_FEATURES,
         F.concat(
             F.transform(different, lambda x: x["idx"]),
             F.transform(shared, lambda x: x["idx"] + size),
@@ -181,12 +178,6 @@ def feature_vectors(
             numbers,
         ).alias("values"),
     )
-    holder = Ty.StructType([Ty.StructField("features", VectorUDT())])
-    return measured.select(
-        *prepared.columns,
-        *NUMERIC_FEATURES,
-        F.from_json(F.to_json(F.struct(vector.alias("features"))), holder)["features"].alias("features"),
-    )
 
 
 def written_vocabulary(texts: DataFrame, prepared_col: str, size: int = VOCABULARY_SIZE) -> DataFrame:
