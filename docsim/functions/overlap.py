@@ -68,6 +68,12 @@ def count_overlap(texts_a: pa.Array, texts_b: pa.Array) -> dict[str, np.ndarray]
     }
 
 
+def _once(function):
+    """Keep the optimizer from copying the call into filters and running it again there."""
+    return function.asNondeterministic()
+
+
+@_once
 @F.arrow_udf(OVERLAP_TYPE)
 def overlap_sums(texts_a: pa.Array, texts_b: pa.Array) -> pa.Array:
     """Struct of integer sums that every pair measure is made of, from two prepared texts.
@@ -81,6 +87,7 @@ def overlap_sums(texts_a: pa.Array, texts_b: pa.Array) -> pa.Array:
     )
 
 
+@_once
 @F.arrow_udf(SHARED_TYPE)
 def shared_sums(
     small_keys: pa.Array, small_tf: pa.Array, large_keys: pa.Array, large_tf: pa.Array

@@ -126,9 +126,12 @@ def prepared_tokens(prepared: Column) -> Column:
 
 def word_count(prepared: Column) -> Column:
     """Number of words of a prepared text, without building the array."""
-    return F.when(F.coalesce(F.length(prepared), F.lit(0)) == 0, F.lit(0)).otherwise(
-        F.length(prepared) - F.length(F.replace(prepared, F.lit(" "), F.lit(""))) + 1
-    )
+
+    def count(text: Column) -> Column:
+        spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+        return F.when(text == "", F.lit(0)).otherwise(spaces + 1)
+
+    return bind(F.coalesce(prepared, F.lit("")), count)
 
 
 def is_valid_document(text: Column) -> Column:

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsim.functions.rounding import round_even
+from docsim.functions.similarity import pair_cosine
 from docsim.operators.pairs import (
-    both_long_enough, evaluable, usable_label, with_prepared, with_scores,
+    MIN_PAIR_WORDS, evaluable, long_enough_overlap, usable_label, with_overlap, with_prepared,
+    with_scores,
 )
 
 # Default threshold, sweep, list lengths, class names and messages.
@@ -110,27 +112,23 @@ def classification_report(counts: DataFrame) -> DataFrame:
 
 def scored_examples(pairs: DataFrame) -> DataFrame:
     """Usable pairs with their scores."""
-    return with_scores(evaluable(with_prepared(pairs)))
+    return with_scores(with_prepared(pairs.where(usable_label())), min_words=MIN_PAIR_WORDS)
 
 
 def evaluation_counts(pairs: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One row: the confusion matrix at the threshold and the number of skipped rows.
 
-    One pass over the pairs: rows that are skipped are counted, and compared as empty texts.
+    One pass over the pairs, so evaluated and skipped rows come from the same read.
     """
-    used = usable_label() & both_long_enough()
-    flagged = with_prepared(pairs).withColumn("used", used)
-    scored = with_scores(
-        flagged.select(
-            "label",
-            "used",
-            *[F.when(F.col("used"), F.col(c)).otherwise("").alias(c) for c in ("processed_a", "processed_b")],
-        )
+    overlapped = with_overlap(with_prepared(pairs).select("label", "processed_a", "processed_b"))
+    used = F.when(usable_label() & long_enough_overlap(), F.col("label"))
+    score = round_even(pair_cosine(F.col("overlap")), 4)
+    judged = overlapped.select(
+        used.alias("used_label"), (score >= threshold).cast("int").alias("prediction")
     )
-    prediction = (F.col("similarity_score") >= threshold).cast("int")
-    label = F.when(F.col("used"), F.col("label"))
-    return scored.agg(
-        *confusion_counts(label, prediction), F.count_if(~F.col("used")).alias("skipped_rows")
+    return judged.agg(
+        *confusion_counts(F.col("used_label"), F.col("prediction")),
+        F.count_if(F.col("used_label").isNull()).alias("skipped_rows"),
     )
 
 

@@ -31,17 +31,27 @@ def grams(prepared: Column) -> Column:
     return T.bind(T.prepared_tokens(prepared), with_pairs)
 
 
+def _terms(docs: DataFrame, keys: list[str], bag: Column) -> DataFrame:
+    """``keys`` and the fields of every element of a bag.
+
+    The outer form is used because the inner one makes Spark build the bag a second time, for
+    a filter on its size.
+    """
+    return docs.select(*keys, F.inline_outer(bag)).where(F.col("term").isNotNull())
+
+
 def term_frequency(docs: DataFrame, id_col: str, prepared_col: str) -> DataFrame:
     """``id_col, term, tf`` of prepared texts; counted inside the row."""
-    return docs.select(
-        id_col, F.inline(S.term_bag(T.prepared_tokens(F.col(prepared_col))))
-    )
+    return _terms(docs, [id_col], S.term_bag(T.prepared_tokens(F.col(prepared_col))))
 
 
 def document_frequency(docs: DataFrame, prepared_col: str) -> DataFrame:
     """``term, df, idf`` with the smooth idf ln((1 + n) / (1 + df)) + 1."""
     counts = (
-        docs.select(F.explode(F.array_distinct(T.prepared_tokens(F.col(prepared_col)))).alias("term"))
+        docs.select(
+            F.explode_outer(F.array_distinct(T.prepared_tokens(F.col(prepared_col)))).alias("term")
+        )
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -55,7 +65,7 @@ def fit_vocabulary(texts: DataFrame, prepared_col: str, size: int = VOCABULARY_S
     Counts are combined before the shuffle. The alphabet decides between equal counts.
     """
     counts = (
-        texts.select(F.inline(S.term_bag(grams(F.col(prepared_col)))))
+        _terms(texts, [], S.term_bag(grams(F.col(prepared_col))))
         .groupBy("term")
         .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     )
@@ -78,7 +88,7 @@ def pair_texts(prepared: DataFrame) -> DataFrame:
 
 def tfidf_weights(docs: DataFrame, vocabulary: DataFrame, id_col: str, prepared_col: str) -> DataFrame:
     """``id_col, idx, term, weight``: L2-normalised TF-IDF; unknown terms are dropped."""
-    known = docs.select(id_col, F.inline(S.term_bag(grams(F.col(prepared_col))))).join(
+    known = _terms(docs, [id_col], S.term_bag(grams(F.col(prepared_col)))).join(
         F.broadcast(vocabulary.select("term", "idx", "idf")), "term"
     )
     weight = F.col("tf") * F.col("idf")
@@ -102,8 +112,8 @@ def pair_term_features(
             ),
         )
 
-    exploded = prepared.select(
-        id_col, F.inline(F.concat(side("processed_a", True), side("processed_b", False)))
+    exploded = _terms(
+        prepared, [id_col], F.concat(side("processed_a", True), side("processed_b", False))
     )
     extra = [c for c in vocabulary.columns if c not in ("term", "idx", "idf", "total", "df")]
     known = exploded.join(

@@ -1,7 +1,7 @@
 """Operators over tables of text pairs: preparing, filtering, scoring.
 
 A pair table has ``text_a`` and ``text_b``; any other columns (an id, a label) pass through.
-All work stays inside the row, so no operator here shuffles. Filters run before the overlap is counted.
+All work stays inside the row, so no operator here shuffles.
 """
 
 from __future__ import annotations
@@ -40,6 +40,11 @@ def both_long_enough() -> Column:
     )
 
 
+def long_enough_overlap(min_words: int = MIN_PAIR_WORDS) -> Column:
+    """The same condition on the counts of the struct ``overlap``."""
+    return (F.col("overlap.length_a") >= min_words) & (F.col("overlap.length_b") >= min_words)
+
+
 def usable_label() -> Column:
     """The label is 0 or 1; null is not usable."""
     return F.coalesce(F.col("label").isin(0, 1), F.lit(False))
@@ -66,11 +71,17 @@ def with_scores(
     processed_b: str = "processed_b",
     plagiarism: float = S.PLAGIARISM_THRESHOLD,
     suspicious: float = S.SUSPICIOUS_THRESHOLD,
+    min_words: int = 0,
 ) -> DataFrame:
-    """Add score, percentage, distance and status columns for two prepared texts."""
-    scored = with_overlap(prepared, processed_a, processed_b).withColumn(
-        "raw_score", S.pair_cosine(F.col("overlap"))
-    )
+    """Add score, percentage, distance and status columns for two prepared texts.
+
+    With ``min_words``, pairs with fewer words on a side are left out. The overlap has counted
+    the words, so preparing the texts is not repeated for the filter.
+    """
+    overlapped = with_overlap(prepared, processed_a, processed_b)
+    if min_words:
+        overlapped = overlapped.where(long_enough_overlap(min_words))
+    scored = overlapped.withColumn("raw_score", S.pair_cosine(F.col("overlap")))
     has_text = (F.col("overlap.length_a") > 0) & (F.col("overlap.length_b") > 0)
     return scored.select(
         *prepared.columns, *S.score_columns(F.col("raw_score"), has_text, plagiarism, suspicious)

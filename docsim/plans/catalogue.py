@@ -14,7 +14,7 @@ from docsim.operators import all_pairs, classifier, evaluation, features, pair_r
 from docsim.operators.dataset_pairs import compare_dataset_pairs
 from docsim.operators.splitting import stratified_split
 from docsim.plans import inputs
-from docsim.session import new_path
+from docsim.session import new_path, written
 from docsim.sources import corpus as C
 from docsim.sources import ingest, model_store
 from docsim.streaming.ingest import stream_into_corpus
@@ -80,7 +80,7 @@ def document_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _training_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return classifier.training_pairs(inputs.labelled_pairs(spark, sf))
+    return written(classifier.training_pairs(inputs.labelled_pairs(spark, sf)), "training")
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,7 +318,9 @@ def demo_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stratified_split_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return stratified_split(_training_texts(spark, sf)).select("pair_id", "label", "is_test")
+    cleaned = classifier.training_pairs(inputs.labelled_pairs(spark, sf))
+    labels = written(cleaned.select("pair_id", "label"), "labels")
+    return stratified_split(labels).select("pair_id", "label", "is_test")
 
 
 @lru_cache(maxsize=2)

@@ -44,9 +44,12 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some second texts are blank and some labels are null or 2, to exercise the filters.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # text work follows, so the number of tasks must not follow the bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     following = documents.select(
         (F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next_text")
-    )
+    ).repartition(tasks, "doc_id")
+    documents = documents.repartition(tasks, "doc_id")
     number = F.col("doc_id")
     thinned = F.array_join(F.filter(F.split("text", " "), lambda x, i: i % 5 != 4), " ")
     return documents.join(following, "doc_id").select(
