@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,11 @@ def build_session(app_name: str = "docsim", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="docsim-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -36,9 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="docsim-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
