@@ -115,9 +115,21 @@ class Pieces:
             self._search(codes[max(0, at - 2 * PIECE) : at + SPAN], found)
         return found
 
+    def _dense(self, known: np.ndarray) -> np.ndarray:
+        """Places of q-grams known to the index, where enough of them lie within one piece's reach of each other."""
+        sums = np.concatenate(([0], np.cumsum(known)))
+        reach = PIECE + int(self.edits.max(initial=0))
+        first = np.arange(len(known))
+        rich = sums[np.minimum(first + reach, len(known))] - sums[first] >= (int(self.needed.min()) if len(self.needed) else 1)
+        cover = np.zeros(len(known) + 1, np.int64)
+        starts = np.flatnonzero(rich)
+        cover[starts] += 1
+        np.subtract.at(cover, np.minimum(starts + reach, len(known)), 1)
+        return np.flatnonzero(known & (np.cumsum(cover[:-1]) > 0))
+
     def _search(self, codes: np.ndarray, found: dict) -> None:
         grams = _grams(codes)
-        at = np.flatnonzero(self.table[_slots(grams)])
+        at = self._dense(self.table[_slots(grams)])
         if not len(at):
             return
         low = np.searchsorted(self.grams, grams[at], "left")
@@ -133,8 +145,7 @@ class Pieces:
         shift = len(codes) + 2 * PIECE + 2
         # a band is two strips wide: each q-gram counts for the band that starts at its strip and the one before
         keys = np.concatenate((owner * shift + band, owner * shift + band - 1))
-        pairs = np.unique(np.stack((keys, np.concatenate((place, place)))), axis=1)
-        bands, shared = np.unique(pairs[0], return_counts=True)
+        bands, shared = np.unique(keys, return_counts=True)  # a repeated q-gram counts twice: only more to verify
         bands = bands[shared >= self.needed[bands // shift]]
         for key in bands.tolist():
             k, b = divmod(key, shift)

@@ -73,7 +73,7 @@ def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     for part in bag(text):
         total += np.bincount(part, minlength=1 << BUCKET_BITS)
     found = np.flatnonzero(total)
-    return found.astype(np.int32), (total[found] / max(1, total.sum())).astype(np.float32)
+    return found.astype(np.uint16), (total[found] / max(1, total.sum())).astype(np.float32)
 
 
 class Model:
@@ -199,7 +199,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     rows = texts.join(F.broadcast(chosen), "id").select("text", "toxic")
     rows = rows.mapInArrow(_collector, "buckets binary, shares binary, toxic int").collect()
     rows.sort(key=lambda r: (r.toxic, bytes(r.buckets), bytes(r.shares)))
-    bags = [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in rows]
+    bags = [(np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.shares, np.float32)) for r in rows]
     return fit(bags, np.array([r.toxic for r in rows], np.int64), weight[0] / weight[1])
 
 
