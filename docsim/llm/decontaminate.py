@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.llm.words import batches, text_bytes
+from docsim.llm.words import text_bytes, values
 
 Q = 8
 PIECE = 96
@@ -225,7 +225,7 @@ def _matcher(block: list[tuple], edit_share: float):
         index = Pieces.build(block, edit_share)
         for batch in stream:
             ids, items, edits = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in values(batch.column(0), batch.column(1)):
                 for item, distance in index.search(text).items():
                     ids.append(doc)
                     items.append(item)
@@ -251,12 +251,10 @@ def contaminated_column(benchmark: DataFrame, text_col: str, item_col: str = "it
 def _contains(block: list[tuple], edit_share: float):
     index: list[Pieces] = []
 
-    @F.pandas_udf("boolean")
-    def holds(texts):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
         if not index:
             index.append(Pieces.build(block, edit_share))
-        return pd.Series([bool(index[0].search(t)) for t in texts], dtype=bool)
+        return pa.array((bool(index[0].search(t)) for t in values(texts)), pa.bool_())
 
     return holds

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.llm.words import text_bytes
+from docsim.llm.words import text_bytes, values
 
 # Phrases whose places are counted, and the labels they give.
 PHRASES = (
@@ -205,7 +205,7 @@ def _scan(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     for batch in stream:
-        rows = [scanner.scan(t) for t in batch.column(1).to_pylist()]
+        rows = [scanner.scan(t) for t in values(batch.column(1))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]], names=["doc_id", *names]
         )

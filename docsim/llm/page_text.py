@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsim.llm.words import values
+
 TRAINING_PAGES = 300  # bound on the pages the model is fitted on
 TRAINING_CHARS = 50_000  # and on the length of each of them
 
@@ -293,7 +295,7 @@ def page_texts(pages: DataFrame, model: Model, id_col: str = "page_id", url_col:
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            texts = [model.extract(h) for h in batch.column(2).to_pylist()]
+            texts = [model.extract(h) for h in values(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],

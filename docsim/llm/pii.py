@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsim.llm.words import values
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The identifiers' patterns. Runs are possessive where giving back cannot help.
@@ -190,7 +192,7 @@ def _scan(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         counts: list[list[int]] = [[], [], [], []]
         digests, spans, added = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in values(batch.column(1)):
             base = find(text or "")
             more = find_disguised(text or "", base)
             for k in range(4):

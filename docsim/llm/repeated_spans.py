@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.llm.words import Sequences, batches, mix, signed, word_hashes, words
+from docsim.llm.words import Sequences, batches, mix, signed, values, word_hashes, words
 from docsim.session import written
 
 WINDOW = 50
@@ -64,7 +64,7 @@ def _path_rows(schema: pa.Schema, window: int, anchor: int) -> Callable:
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             out: list[list] = [[] for _ in range(6)]
-            for doc, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, digest, text in values(*batch.columns):
                 a, c, s, n = paths(word_hashes(words(text)), window, anchor)
                 for column, value in zip(out, (signed(a), signed(c), np.full(len(s), doc), np.full(len(s), digest), s, n)):
                     column.append(value)
@@ -78,7 +78,7 @@ def _edge_rows(schema: pa.Schema, window: int) -> Callable:
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            for text, opened in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, opened in values(batch.column(0), batch.column(1)):
                 sequences = Sequences(word_hashes(words(text)), 3)
                 starts = np.array([o["start"] for o in opened], np.int64)
                 counts = np.array([o["n"] for o in opened], np.int64)
@@ -134,7 +134,7 @@ def removed_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCH
 def _kept(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         sizes, gone, digests = [], [], []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for text, spans in values(batch.column(1), batch.column(2)):
             parts = words(text)
             cover = np.zeros(len(parts) + 1, np.int64)
             for s in spans or ():

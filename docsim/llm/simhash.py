@@ -8,8 +8,6 @@ per half. Candidates are verified on all 64 bits inside the join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsim.llm.graph import components
-from docsim.llm.words import lower_words, signed
+from docsim.llm.words import lower_words, signed, values
 from docsim.session import written
 
 SHINGLE = 3
@@ -50,11 +48,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprint_column(text: str):
     """Fingerprint of a text column as a bigint; a null or empty text has 0."""
 
-    @F.pandas_udf("bigint")
-    def of(texts):
-        import pandas as pd
-
-        return pd.Series(signed(np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))))
+    @F.arrow_udf("bigint")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(signed(np.fromiter(map(fingerprint, values(texts)), np.uint64, len(texts))))
 
     return of(F.col(text))
 

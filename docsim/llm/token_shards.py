@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsim.llm.words import mix
+from docsim.llm.words import mix, values
 from docsim.session import new_path
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -63,7 +63,7 @@ def _staged(path: str, end: int, length: int) -> Callable:
         for batch in stream:
             ids, places, sizes, tokens, numbers = [], [], [], [], []
             size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in values(batch.column(0), batch.column(1)):
                 codes = np.append(encode(tokenizer, text), np.uint16(end))
                 for k, at in enumerate(range(0, len(codes), length)):
                     piece = codes[at : at + length]
@@ -120,7 +120,7 @@ def _packed(total: int, key: int) -> Callable:
         pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=True).compress
         for batch in stream:
             slots = permuted(np.asarray(batch.column(0), np.int64), total, key)
-            tokens = pa.array([pack(t) for t in batch.column(4).to_pylist()], pa.binary())
+            tokens = pa.array([pack(t) for t in values(batch.column(4))], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(slots), *batch.columns[1:4], tokens], names=["slot", "doc_id", "piece", "n_tokens", "tokens"])
 
     return run
@@ -134,7 +134,7 @@ def _records(length: int) -> Callable:
 
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in stream:
-            records = [unpack(t).ljust(2 * length, b"\0") for t in batch.column(5).to_pylist()]
+            records = [unpack(t).ljust(2 * length, b"\0") for t in values(batch.column(5))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(records, pa.binary())], names=batch.schema.names[:5] + ["record"])
 
     return run

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.llm.words import mix, text_bytes
+from docsim.llm.words import mix, text_bytes, values
 from docsim.session import written
 
 BUCKET_BITS = 16
@@ -162,17 +162,16 @@ def fold(id_col) -> "F.Column":
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS, F.lit(1))
 
 
+_BAG = pa.schema([("buckets", pa.binary()), ("shares", pa.binary()), ("toxic", pa.int32())])
+
+
 def _collector(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
-        found = [counts(t) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([f[0].tobytes() for f in found], pa.binary()),
-                pa.array([f[1].tobytes() for f in found], pa.binary()),
-                batch.column(1),
-            ],
-            names=["buckets", "shares", "toxic"],
-        )
+        for text, toxic in values(batch.column(0), batch.column(1)):
+            buckets, shares = counts(text)
+            yield pa.RecordBatch.from_pylist(
+                [{"buckets": buckets.tobytes(), "shares": shares.tobytes(), "toxic": toxic}], schema=_BAG
+            )
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -206,11 +205,9 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 def score_column(model: Model, text_col: str):
     """Score of a text column between 0 and 1; null and empty texts get the bias alone."""
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series([model.score(t) for t in texts], dtype=float)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(map(model.score, values(texts)), pa.float64())
 
     return score(F.col(text_col))
 

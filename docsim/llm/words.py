@@ -17,6 +17,13 @@ def text_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def values(*columns: pa.Array, step: int = 128) -> Iterator:
+    """The values of a column (of several: tuples) as Python objects, a few rows at a time, so that a batch never exists twice."""
+    for at in range(0, len(columns[0]), step):
+        parts = [c.slice(at, step).to_pylist() for c in columns]
+        yield from parts[0] if len(parts) == 1 else zip(*parts)
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+``: ``bytes.split`` cuts at exactly these six characters."""
     return text_bytes(text).split()
