@@ -25,7 +25,7 @@ BUCKETS = 4096
 SAMPLE = 20_000  # bound on the labelled rows the classifier is fitted on
 SMOOTHING = 1.0
 TEMPER = 0.1  # words of a text repeat, so their evidence counts for a part
-RIDGE = 0.02
+RIDGE = 0.005
 STEPS = 40
 TOLERANCE = 1e-4
 PER_WRITE = 8  # steps between two writes of the rates
@@ -67,6 +67,8 @@ def fit_domains(documents: DataFrame, labelled: DataFrame, id_col: str = "doc_id
     if len(counted) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
     names = tuple(r.domain for r in counted)
+    if not names:
+        return Domains((), (), chosen, buckets)
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # at most ``sample`` rows of an id and a name
     found = texts.join(F.broadcast(chosen), "id").select("domain", F.explode(_words(F.col("text"))).alias("word")).where("word <> ''")

@@ -282,12 +282,16 @@ def fit(pages: list[str], pull: float = 0.02, steps: int = 200, rate: float = 0.
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Model:
-    """Fit on the marked pages with the least hash of their id, at most ``TRAINING_PAGES`` of bounded length."""
+    """Fit on the marked pages with the least hash of their id, at most ``TRAINING_PAGES`` of bounded length.
+
+    Ids are chosen first, so only the chosen pages come to the driver. Pages with null ids are not used.
+    """
     marked = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(
         (F.length("html") <= TRAINING_CHARS) & F.col("html").rlike(r"(?i)<(article|main)\b|role=.?main\b")
     )
-    rows = marked.orderBy(F.xxhash64("id"), "id", "html").limit(TRAINING_PAGES).collect()
-    return fit([r.html for r in rows])
+    chosen = marked.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(TRAINING_PAGES)
+    rows = marked.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("html").alias("html")).collect()
+    return fit(sorted(r.html for r in rows))
 
 
 def page_texts(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -90,4 +90,56 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = """
+texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+worded AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM texts)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_quality": f"""
+WITH {_WORDS},
+windows AS (
+  SELECT r, i, array_to_string(words[i:i + 4], ' ') AS five
+  FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM worded WHERE len(words) > 5)
+),
+repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, five) > 1),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM repeated) GROUP BY r
+),
+measured AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM worded LEFT JOIN covered USING (r)
+),
+judged AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines FROM measured
+),
+ruled AS (
+  SELECT *, n_words < 10 AS f0, 100 * n_repeat_words > 20 * n_words AS f1, 10 * n_symbols > n_words AS f2,
+    n_lines > 3 AND 10 * n_dup_lines > 3 * n_lines AS f3,
+    n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) AS f4
+  FROM judged
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f0 OR f1 AS base_failed,
+  NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept,
+  CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT AS INTEGER) AS failed
+FROM ruled
+""",
+    "op7_substring": f"""
+WITH {_WORDS},
+windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS w
+  FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM worded WHERE len(words) >= 50)
+),
+late AS (SELECT r, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id),
+gone AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM late) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN words
+    ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+FROM worded LEFT JOIN gone USING (r)
+""",
+}
