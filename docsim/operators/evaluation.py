@@ -179,13 +179,12 @@ def evaluation_examples(
 def sweep_values(
     start: float = SWEEP_START, end: float = SWEEP_END, step: float = SWEEP_STEP
 ) -> list[tuple[float, float]]:
-    """Thresholds and percentages of a sweep. The step is added up in floating point, so the
-    default sweep stops at 0.59."""
-    values, current = [], start
-    while current <= end:
-        values.append((round(current, 2), round(current * 100, 2)))
-        current += step
-    return values
+    """Thresholds and percentages of a sweep, in whole hundredths.
+
+    The last value is the last one that lies below ``end``, so the default sweep stops at 0.59.
+    """
+    low, high, width = (round(100 * value) for value in (start, end, step))
+    return [(hundredths / 100, float(hundredths)) for hundredths in range(low, high, width)]
 
 
 def sweep_thresholds(
