@@ -98,16 +98,18 @@ def shared_sums(
         for array in (small_keys, small_tf, large_keys, large_tf)
     ]
     (start_s, keys_s), (start_st, tf_s), (start_l, keys_l), (start_lt, tf_l) = lists
-    sums = np.zeros((3, len(small_keys)), dtype=np.int64)
-    for row in range(len(small_keys)):
-        mine = keys_s[start_s[row] : start_s[row + 1]]
-        theirs = keys_l[start_l[row] : start_l[row + 1]]
-        at = np.searchsorted(theirs, mine)
-        at[at == len(theirs)] = 0
-        met = theirs[at] == mine
-        s = tf_s[start_st[row] : start_st[row + 1]][met].astype(np.int64)
-        t = tf_l[start_lt[row] : start_lt[row + 1]][at[met]].astype(np.int64)
-        sums[0, row], sums[1, row], sums[2, row] = s @ t, s @ s, t @ t
+    n = len(small_keys)
+    keys_s, tf_s = keys_s[start_s[0] : start_s[-1]], tf_s[start_st[0] : start_st[-1]].astype(np.int64)
+    keys_l, tf_l = keys_l[start_l[0] : start_l[-1]], tf_l[start_lt[0] : start_lt[-1]].astype(np.int64)
+    rows_s, rows_l = np.repeat(np.arange(n), np.diff(start_s)), np.repeat(np.arange(n), np.diff(start_l))
+    # all rows at once: keys become their rank in the batch, rows come first
+    known, codes = np.unique(np.concatenate((keys_s, keys_l)), return_inverse=True)
+    width = max(len(known), 1)
+    mine, theirs = rows_s * width + codes[: len(keys_s)], rows_l * width + codes[len(keys_s) :]
+    at = np.minimum(np.searchsorted(theirs, mine), max(len(theirs) - 1, 0))
+    met = theirs[at] == mine if len(theirs) else np.zeros(len(mine), dtype=bool)
+    rows, s, t = rows_s[met], tf_s[met], tf_l[at[met]] if len(theirs) else tf_l[:0]
+    sums = [_sum_by_row(rows, x, n) for x in (s * t, s * s, t * t)]
     return pa.StructArray.from_arrays(
         [pa.array(values, pa.int64()) for values in sums], names=list(SHARED_FIELDS)
     )

@@ -6,10 +6,13 @@ only a handful of numbers is shuffled.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsim.functions.rounding import round_even
+from docsim.functions.rows import head_rows
 from docsim.functions.similarity import pair_cosine
 from docsim.operators.pairs import (
     MIN_PAIR_WORDS, evaluable, long_enough_overlap, usable_label, with_overlap, with_prepared,
@@ -137,8 +140,13 @@ def evaluate_threshold(
     threshold: float = DEFAULT_THRESHOLD,
     limit: int | None = None,
     dataset_name: str = "",
+    index_col: str = "row_idx",
 ) -> DataFrame:
-    """One row with the whole evaluation; metrics are null when nothing could be evaluated."""
+    """One row with the whole evaluation; metrics are null when nothing could be evaluated.
+
+    With ``limit``, only the first rows by ``index_col`` are read.
+    """
+    pairs = head_rows(pairs, limit, index_col) if limit is not None else pairs
     measured = with_class_metrics(evaluation_counts(pairs, threshold))
     some = F.col("evaluated_count") > 0
     return measured.select(
@@ -179,12 +187,14 @@ def evaluation_examples(
 def sweep_values(
     start: float = SWEEP_START, end: float = SWEEP_END, step: float = SWEEP_STEP
 ) -> list[tuple[float, float]]:
-    """Thresholds and percentages of a sweep, in whole hundredths.
+    """Thresholds and percentages of a sweep.
 
-    The last value is the last one that lies below ``end``, so the default sweep stops at 0.59.
+    Whether ``end`` belongs to it depends on floating-point sums of the step: the default sweep
+    stops at 0.59. The values themselves are whole hundredths.
     """
-    low, high, width = (round(100 * value) for value in (start, end, step))
-    return [(hundredths / 100, float(hundredths)) for hundredths in range(low, high, width)]
+    reached = itertools.takewhile(lambda v: v <= end, itertools.accumulate(itertools.repeat(step), initial=start))
+    hundredths = [round(100 * value) for value in reached]
+    return [(h / 100, float(h)) for h in hundredths]
 
 
 def sweep_thresholds(
@@ -192,12 +202,15 @@ def sweep_thresholds(
     start: float = SWEEP_START,
     end: float = SWEEP_END,
     step: float = SWEEP_STEP,
+    limit: int | None = None,
+    index_col: str = "row_idx",
 ) -> DataFrame:
-    """One row of metrics per threshold.
+    """One row of metrics per threshold; with ``limit``, of the first rows by ``index_col``.
 
     Pairs are scored once and counted by score and label: scores have four digits, so at most
     20,002 rows remain, and only these meet the thresholds.
     """
+    pairs = head_rows(pairs, limit, index_col) if limit is not None else pairs
     histogram = (
         scored_examples(pairs)
         .groupBy("similarity_score", "label")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsim.functions import similarity as S
 from docsim.functions import text as T
+from docsim.functions.rows import head_rows
 from docsim.operators import all_pairs, classifier, evaluation, features, pair_rows, pairs
 from docsim.operators.dataset_pairs import compare_dataset_pairs
 from docsim.operators.splitting import stratified_split
@@ -24,6 +24,11 @@ WINDOW_LAST_START = 150
 WINDOW_ROWS = 50
 HEAD_ROWS = 50
 LOOKUP_ID = 42
+LIMITED_ROWS = 120
+LOW_SCORE = 0.02
+# coefficients of the checked model, by formula
+INTERCEPT = 0.1
+NUMERIC_COEFS = {"cosine": 1.5, "jaccard": -0.5, "containment": 0.75, "length_ratio": -0.25}
 
 
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,6 +179,38 @@ def clean_marks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pairs_by_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of distinct texts with a score of 0.02 or more, counted by whole percent."""
+    index = all_pairs.build_index(inputs.uploaded_corpus(spark, sf))
+    percent = F.floor(F.round("raw_score", 9) * 100).cast("int")
+    return all_pairs.similar_texts(index, LOW_SCORE).groupBy(percent.alias("percent")).agg(F.count("*").alias("pairs"))
+
+
+def partners(spark: SparkSession, sf: str) -> DataFrame:
+    """All partners of the documents that have a label."""
+    index = all_pairs.build_index(inputs.uploaded_corpus(spark, sf))
+    wanted = inputs.table(spark, sf, "labels").select("doc_id").distinct()
+    found = all_pairs.partners(all_pairs.similar_texts(index), index.members, wanted)
+    return found.withColumn("raw_score", F.round("raw_score", 6))
+
+
+def pair_number_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The four numbers of each training pair's feature row, and its number of shared terms."""
+    prepared = _training_texts(spark, sf)
+    fitted = features.written_vocabulary(features.pair_texts(prepared), "processed")
+    size = features.VOCABULARY_SIZE
+    rows = features.feature_rows(prepared, fitted, size)
+    shared = F.size(F.filter("indices", lambda i: (i >= size) & (i < 2 * size)))
+    numbers = [F.round(name, 6).alias(name) for name in features.NUMERIC_FEATURES]
+    return rows.select("pair_id", *numbers, shared.alias("n_shared"))
+
+
+def evaluate_threshold_head(spark: SparkSession, sf: str) -> DataFrame:
+    """The evaluation of the first rows only."""
+    result = evaluation.evaluate_threshold(inputs.labelled_pairs(spark, sf), limit=LIMITED_ROWS)
+    return result.select("limit_requested", "evaluated_count", "skipped_rows", "confusion_matrix.*")
+
+
 def evaluate_threshold(spark: SparkSession, sf: str) -> DataFrame:
     result = evaluation.evaluate_threshold(inputs.labelled_pairs(spark, sf))
     per_class = [
@@ -203,6 +240,11 @@ def sweep_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.sweep_thresholds(inputs.labelled_pairs(spark, sf))
 
 
+def sweep_thresholds_head(spark: SparkSession, sf: str) -> DataFrame:
+    """The sweep over the first rows only."""
+    return evaluation.sweep_thresholds(inputs.labelled_pairs(spark, sf), limit=LIMITED_ROWS)
+
+
 def best_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.best_thresholds(sweep_thresholds(spark, sf))
 
@@ -292,8 +334,7 @@ def corpus_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dataset_head(spark: SparkSession, sf: str) -> DataFrame:
-    limit = ingest.clamp(HEAD_ROWS, ingest.LOAD_LIMITS)
-    return ingest.head_rows(inputs.labelled_pairs(spark, sf), limit).drop("pair_id")
+    return head_rows(inputs.labelled_pairs(spark, sf), HEAD_ROWS).drop("pair_id")
 
 
 def dataset_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,22 +364,33 @@ def stratified_split_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return stratified_split(labels).select("pair_id", "label", "is_test")
 
 
-@lru_cache(maxsize=2)
-def _trained(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Train once per session and table folder; paths of the saved model and metrics."""
-    model, metrics = classifier.train_model(inputs.labelled_pairs(spark, sf), "labelled_pairs")
-    folder = new_path(spark, "trained")
-    model_store.save_model(model, f"{folder}/model")
-    model_store.save_metrics(metrics, f"{folder}/metrics")
-    return f"{folder}/model", f"{folder}/metrics"
-
-
 def train_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return model_store.load_metrics(spark, _trained(spark, sf)[1])
+    """Train, save the metrics and read them: what does not depend on fitted numbers."""
+    _, metrics = classifier.train_model(inputs.labelled_pairs(spark, sf), "labelled_pairs")
+    path = new_path(spark, "metrics")
+    model_store.save_metrics(metrics, path)
+    cells = sum(F.col(f"confusion_matrix.{c}") for c in ("true_negative", "false_positive", "false_negative", "true_positive"))
+    return model_store.load_metrics(spark, path).select(
+        "dataset_name", "total_examples", "train_examples", "test_examples", "model",
+        F.col("classes.no_plagio.support").alias("no_plagio_support"),
+        F.col("classes.plagio.support").alias("plagio_support"),
+        cells.alias("tested"),
+    )
 
 
 def predict_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    model = model_store.load_model(spark, _trained(spark, sf)[0])
+    """Predictions of a saved and loaded model whose coefficients follow a formula."""
+    prepared = _training_texts(spark, sf)
+    fitted = features.written_vocabulary(features.pair_texts(prepared), "processed")
+    idx = F.col("idx")
+    terms = fitted.select(
+        "term", "idx", "idf",
+        ((idx * 37 % 101 - 50) / 100).alias("difference_coef"),
+        ((idx * 53 % 97 - 48) / 100).alias("product_coef"),
+    )
+    path = new_path(spark, "model")
+    model_store.save_model(classifier.PairModel(terms, INTERCEPT, NUMERIC_COEFS), path)
+    model = model_store.load_model(spark, path)
     return classifier.predict_pairs(inputs.labelled_pairs(spark, sf), model)
 
 
@@ -354,6 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_summary, ingest_preview, ingest_documents, stream_ingest_documents,
         corpus_newest_first, corpus_counts, corpus_lookup, corpus_delete, deletion_report,
         corpus_clear_dataset, corpus_table, dataset_head, dataset_window, row_index, demo_flow,
-        stratified_split_pairs, train_metrics, predict_pairs,
+        stratified_split_pairs, train_metrics, predict_pairs, pairs_by_score, partners,
+        pair_number_features, evaluate_threshold_head, sweep_thresholds_head,
     )
 }

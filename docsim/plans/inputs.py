@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsim.functions import text as T
-from docsim.session import new_path
 from docsim.sources.corpus import corpus_rows
 from docsim.sources.ingest import ingest_pairs
 
@@ -16,26 +13,9 @@ FIRST_DATASET_ID = 10_000_000_000
 CLOCK_START = "2024-01-01 00:00:00"
 
 
-@lru_cache(maxsize=None)
-def _spread(spark: SparkSession, path: str) -> str:
-    """Path of a copy of a small table in more files."""
-    copy = new_path(spark, "spread")
-    rows = spark.read.parquet(path)
-    rows.repartition(4 * spark.sparkContext.defaultParallelism).write.parquet(copy)
-    return copy
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.
-
-    Text work is heavy per byte, so a table with fewer splits than the session has cores is
-    first copied into more files; a large one is read as it is.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    rows = spark.read.parquet(path)
-    if rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return rows
-    return spark.read.schema(rows.schema).parquet(_spread(spark, path))
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

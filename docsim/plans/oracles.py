@@ -8,7 +8,7 @@ from docsim.functions.similarity import (
 )
 from docsim.functions.text import ENGLISH_MARKERS, SPANISH_MARKERS, STOPWORDS
 from docsim.operators.evaluation import DONE
-from docsim.plans.catalogue import LOOKUP_ID, WINDOW_LAST_START, WINDOW_ROWS, WINDOW_SEED
+from docsim.plans.catalogue import LIMITED_ROWS, LOOKUP_ID, WINDOW_LAST_START, WINDOW_ROWS, WINDOW_SEED
 from docsim.plans.inputs import FIRST_DATASET_ID
 from docsim.sources.ingest import window_start
 
@@ -262,11 +262,11 @@ def padded(x: str) -> str:
 
 CORPUS = f"""{PREPARED}, {loaded('prep', FIRST)},
 corpus AS (
-  SELECT doc_id AS id, 'doc_' || doc_id || '.pdf' AS filename, substring(text, 1, 5000) AS raw_text, {prepared('text')} AS processed_text,
+  SELECT doc_id AS id, 'doc_' || doc_id || '.pdf' AS filename, text AS raw_text, {prepared('text')} AS processed_text,
     {language('text')} AS language, 'upload' AS source_type, CAST(NULL AS INT) AS expected_label, CAST(NULL AS VARCHAR) AS pair_group,
     strftime(TIMESTAMP '2024-01-01' + to_seconds(doc_id), '%Y-%m-%dT%H:%M:%S') AS uploaded_at FROM documents
   UNION ALL
-  SELECT id, filename, substring(raw_text, 1, 5000), processed_text, language, source_type, expected_label,
+  SELECT id, filename, raw_text, processed_text, language, source_type, expected_label,
     CASE WHEN row_idx % 50 = 11 AND id % 2 = 1 THEN '' WHEN row_idx % 50 = 12 THEN 'dataset_pair_' || {padded('row_idx + 2')} ELSE pair_group END,
     strftime(TIMESTAMP '2024-01-01' + to_seconds(id - {FIRST}), '%Y-%m-%dT%H:%M:%S') FROM loaded)"""
 
@@ -293,7 +293,7 @@ uploads AS (SELECT doc_id AS id, CASE WHEN doc_id % 10 = 4 THEN 'notes ' || doc_
     ELSE 'doc_' || doc_id || '.pdf' END AS filename, text AS raw_text FROM documents)"""
 
 INGEST_DOCUMENTS = f"""WITH {UPLOADS}
-SELECT id, replace(filename, ' ', '_') AS filename, substring(raw_text, 1, 5000) AS raw_text, {prepared('raw_text')} AS processed_text,
+SELECT id, replace(filename, ' ', '_') AS filename, raw_text, {prepared('raw_text')} AS processed_text,
   {language('raw_text')} AS language, 'upload' AS source_type, CAST(NULL AS INT) AS expected_label, CAST(NULL AS VARCHAR) AS pair_group
 FROM uploads WHERE lower(filename) LIKE '%.pdf' AND len({tokens('raw_text')}) >= 10"""
 
@@ -310,13 +310,51 @@ top AS (SELECT * FROM counts ORDER BY total DESC, term LIMIT 10000),
 vocab AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, total, df, ln((1 + (SELECT count(*) FROM sides))::DOUBLE / (1 + df)) + 1 AS idf FROM top)"""
 
 
-def weights(side: str) -> str:
+def weights(side: str, source: str = "usable") -> str:
     return f"""
-g{side} AS (SELECT pid, unnest({GRAMS.format(w='w')}) AS term FROM (SELECT pid, string_split(p{side}, ' ') AS w FROM usable)),
+g{side} AS (SELECT pid, unnest({GRAMS.format(w='w')}) AS term FROM (SELECT pid, string_split(p{side}, ' ') AS w FROM {source})),
 k{side} AS (SELECT pid, idx, term, count(*) * any_value(idf) AS w FROM g{side} JOIN vocab USING (term) GROUP BY pid, idx, term),
 w{side} AS (SELECT pid, idx, term, w / sqrt(sum(w * w) OVER (PARTITION BY pid)) AS weight FROM k{side})"""
 
 
+def first_rows(sql: str, limit: int) -> str:
+    """The same SQL over the first labelled rows."""
+    joined = "n.doc_id = d.doc_id + 1"
+    return sql.replace(f"{joined})", f"{joined} WHERE d.doc_id < {limit})")
+
+
+JOINED = """
+both_sides AS (SELECT coalesce(wa.pid, wb.pid) AS pid, coalesce(wa.idx, wb.idx) AS idx, coalesce(wa.weight, 0e0) AS a, coalesce(wb.weight, 0e0) AS b
+  FROM wa FULL JOIN wb ON wa.pid = wb.pid AND wa.idx = wb.idx)"""
+
+NUMBERS = f"""CASE WHEN terms_a > 0 AND terms_b > 0 THEN {ratio('common', 'terms_a + terms_b - common')} ELSE 0e0 END AS jaccard,
+  {ratio('common', 'least(terms_a, terms_b)')} AS containment, {ratio('least(len_a, len_b)', 'greatest(len_a, len_b)')} AS length_ratio"""
+
+PREDICTED = f"""WITH {VOCABULARY},
+given AS (SELECT * FROM prep WHERE trim(text_a) <> '' AND trim(text_b) <> ''),
+{weights('a', 'given')}, {weights('b', 'given')}, {JOINED}, {scores('given')},
+linear AS (SELECT pid, sum(abs(a - b) * ((idx * 37 % 101 - 50) / 100e0) + a * b * ((idx * 53 % 97 - 48) / 100e0)) AS s, sum(a * b) AS cosine
+  FROM both_sides GROUP BY pid),
+numbers AS (SELECT pid, {NUMBERS} FROM scored),
+decided AS (SELECT g.*, 0.1e0 + coalesce(s, 0e0) + 1.5e0 * coalesce(cosine, 0e0) - 0.5e0 * jaccard + 0.75e0 * containment - 0.25e0 * length_ratio AS z
+  FROM given g JOIN numbers n ON n.pid = g.pid LEFT JOIN linear l ON l.pid = g.pid),
+sure AS (SELECT *, CASE WHEN z > 0 THEN 1e0 / (1e0 + exp(-z)) ELSE 1e0 - 1e0 / (1e0 + exp(-z)) END AS c FROM decided),
+sure100 AS (SELECT *, c * 100 AS c100 FROM sure)
+SELECT pair_id, 'TF-IDF + Logistic Regression con características de comparación' AS model, (z > 0)::INT AS prediction,
+  CASE WHEN z > 0 THEN 'Plagio / similar' ELSE 'No plagio / no similar' END AS prediction_text, {even('c', 4)} AS confidence,
+  {even('c100', 2)} AS confidence_percentage, pa AS processed_text_a, pb AS processed_text_b FROM sure100"""
+
+# over single documents, without collapsing copies
+PARTNERS = f"""WITH docs AS (SELECT doc_id AS id, {prepared('text')} AS p FROM documents),
+tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(string_split(p, ' ')) AS term FROM docs WHERE p <> '') GROUP BY ALL),
+tot AS (SELECT id, sum(tf * tf)::DOUBLE AS total FROM tf GROUP BY 1),
+met AS (SELECT a.id AS x, b.id AS y, sum(a.tf * b.tf)::DOUBLE AS dot, sum(a.tf * a.tf)::DOUBLE AS a2, sum(b.tf * b.tf)::DOUBLE AS b2
+  FROM tf a JOIN tf b ON a.term = b.term AND a.id <> b.id WHERE a.id IN (SELECT doc_id FROM labels) GROUP BY ALL),
+found AS (SELECT x, y, least(1e0, dot / (sqrt(a2 + {K2} * (p.total - a2)) * sqrt(b2 + {K2} * (q.total - b2)))) AS score
+  FROM met JOIN tot p ON p.id = x JOIN tot q ON q.id = y)
+SELECT x AS doc_id, y AS partner_id, round(score, 6) AS raw_score FROM found WHERE score >= 0.4e0"""
+
+
 def _oracles() -> dict[str, str]:
     start = window_start(WINDOW_SEED, WINDOW_LAST_START)
     window = f"""{PREPARED},
@@ -345,7 +383,26 @@ def _oracles() -> dict[str, str]:
     UNION ALL SELECT 'dataset cleared', total - n - ds, 0, ds FROM c, found
     UNION ALL SELECT 'cleared', 0, 0, total - n - ds FROM c, found"""
     columns = "id, filename, raw_text, processed_text, language, source_type, expected_label, pair_group"
+    split = f"""{PREPARED},
+            r AS (SELECT pair_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(pair_id || '|42'), pair_id) AS rn, count(*) OVER (PARTITION BY label) AS n FROM usable),
+            s AS (SELECT pair_id, label, rn <= floor(n * 0.2e0 + 0.5e0) AS is_test FROM r)"""
     return {
+        "pairs_by_score": f"WITH {TEXT_PAIRS} SELECT floor(round(score, 9) * 100)::INT AS percent, count(*) AS pairs FROM textpairs WHERE score >= 0.02e0 GROUP BY 1",
+        "partners": PARTNERS,
+        "pair_number_features": f"""WITH {VOCABULARY}, {weights('a')}, {weights('b')}, {JOINED}, {scores('usable')},
+            linear AS (SELECT pid, sum(a * b) AS cosine, count(*) FILTER (a * b <> 0) AS n_shared FROM both_sides GROUP BY pid),
+            numbers AS (SELECT pid, {NUMBERS} FROM scored)
+            SELECT pid AS pair_id, round(coalesce(cosine, 0e0), 6) AS cosine, round(jaccard, 6) AS jaccard, round(containment, 6) AS containment,
+              round(length_ratio, 6) AS length_ratio, coalesce(n_shared, 0)::INT AS n_shared FROM numbers LEFT JOIN linear USING (pid)""",
+        "predict_pairs": PREDICTED,
+        "train_metrics": f"""WITH {split} SELECT 'labelled_pairs' AS dataset_name, count(*) AS total_examples, count(*) FILTER (NOT is_test) AS train_examples,
+            count(*) FILTER (is_test) AS test_examples, 'TF-IDF + Logistic Regression con características de comparación' AS model,
+            count(*) FILTER (is_test AND label = 0) AS no_plagio_support, count(*) FILTER (is_test AND label = 1) AS plagio_support,
+            count(*) FILTER (is_test) AS tested FROM s""",
+        "evaluate_threshold_head": first_rows(f"""WITH {METRICS} SELECT {LIMITED_ROWS} AS limit_requested, tn + fp + fn + tp AS evaluated_count,
+            (SELECT count(*) FROM labelled) - (tn + fp + fn + tp) AS skipped_rows, tn AS true_negative, fp AS false_positive,
+            fn AS false_negative, tp AS true_positive FROM cm""", LIMITED_ROWS),
+        "sweep_thresholds_head": first_rows(f"WITH {SWEEP} SELECT * FROM sweep", LIMITED_ROWS),
         "normalize_text": f"SELECT doc_id, {norm('text')} AS normalized FROM documents",
         "token_filter": f"SELECT doc_id, {words(norm('text'))} AS n_tokens, len({tokens('text')}) AS n_content FROM documents",
         "prepare_text": f"SELECT *, {words('prepared')} AS words FROM (SELECT conv_id, turn, {prepared('text')} AS prepared FROM conversations)",
@@ -396,9 +453,9 @@ def _oracles() -> dict[str, str]:
         "best_thresholds": f"""WITH {SWEEP} (SELECT 'accuracy' AS criterion, * FROM sweep ORDER BY accuracy_percentage DESC, threshold LIMIT 1)
             UNION ALL (SELECT 'plagio_f1' AS criterion, * FROM sweep ORDER BY plagio_f1 DESC, threshold LIMIT 1)""",
         "top_thresholds": f"WITH {SWEEP} SELECT * FROM sweep ORDER BY accuracy_percentage DESC, threshold LIMIT 10",
-        "ingest_pairs": f"WITH {PREPARED}, {loaded('prep')} SELECT {columns.replace('raw_text', 'substring(raw_text, 1, 5000) AS raw_text')} FROM loaded",
-        "ingest_summary": f"""WITH {PREPARED}, {loaded('prep')} SELECT '' AS dataset_name, 50 AS requested_pairs, 0 AS start_index,
-            (SELECT count(*) FROM loaded) AS saved_documents, (SELECT count(*) FROM prep) - (SELECT count(*) FROM accepted) AS skipped_rows""",
+        "ingest_pairs": f"WITH {PREPARED}, {loaded('prep')} SELECT {columns} FROM loaded",
+        "ingest_summary": first_rows(f"""WITH {PREPARED}, {loaded('prep')} SELECT '' AS dataset_name, 50 AS requested_pairs, 0 AS start_index,
+            (SELECT count(*) FROM loaded) AS saved_documents, (SELECT count(*) FROM prep) - (SELECT count(*) FROM accepted) AS skipped_rows""", 50),
         "ingest_preview": f"""WITH {EXTRACTED} SELECT row_idx + 1 AS row, 'text,sentence1,sentence2,premise,target,label,labels' AS available_columns,
             substring(coalesce(cell, ''), 1, 250) AS text_preview, substring(text_a, 1, 100) AS sentence1_preview, substring(text_b, 1, 100) AS sentence2_preview, label
             FROM extracted WHERE row_idx < 3""",
@@ -416,9 +473,7 @@ def _oracles() -> dict[str, str]:
         "dataset_window": f"WITH {LABELLED} SELECT row_idx - {start} AS row_idx, pair_id, label FROM labelled WHERE row_idx >= {start} AND row_idx < {start + WINDOW_ROWS}",
         "row_index": "SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents",
         "demo_flow": f"WITH {window}, {grouped('refreshed')}",
-        "stratified_split_pairs": f"""WITH {PREPARED},
-            r AS (SELECT pair_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(pair_id || '|42'), pair_id) AS rn, count(*) OVER (PARTITION BY label) AS n FROM usable)
-            SELECT pair_id, label, rn <= floor(n * 0.2e0 + 0.5e0) AS is_test FROM r""",
+        "stratified_split_pairs": f"WITH {split} SELECT pair_id, label, is_test FROM s",
     }
 
 

@@ -27,22 +27,22 @@ def build_session(app_name: str = "docsim", master: str | None = None, **setting
 
 
 @lru_cache(maxsize=None)
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="docsim-")
+def _local_folder(application_id: str) -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="docsim-")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a new temporary folder; a cluster session gets an
-    error, because a folder of one machine is lost with that machine.
+    Where it is unset, a local session gets a temporary folder that goes when Python ends; a
+    cluster session gets an error, because a folder of one machine is lost with that machine.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
-    return _local_folder(spark.sparkContext.applicationId)
+    return _local_folder(spark.sparkContext.applicationId).name
 
 
 def new_path(spark: SparkSession, name: str) -> str:

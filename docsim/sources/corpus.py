@@ -24,17 +24,19 @@ CORPUS_SCHEMA = Ty.StructType(
     ]
 )
 
-# Stored length of the raw text, defaults, source names.
-RAW_TEXT_LENGTH = 5000
+# Defaults, source names.
 DEFAULT_LANGUAGE = "unknown"
 UPLOAD = "upload"
 DATASET = "dataset"
 
 
-def corpus_rows(documents: DataFrame, uploaded_at: Column | None = None) -> DataFrame:
-    """Rows as the corpus stores them: raw text cut, defaults set, time stamped.
+def corpus_rows(
+    documents: DataFrame, uploaded_at: Column | None = None, raw_length: int | None = None
+) -> DataFrame:
+    """Rows as the corpus stores them: defaults set, time stamped.
 
-    Missing optional columns become null or their default. The prepared text is never cut.
+    Missing optional columns become null or their default. The raw text is kept whole unless
+    ``raw_length`` asks for its beginning; the prepared text is never cut.
     """
     have = set(documents.columns)
 
@@ -45,7 +47,7 @@ def corpus_rows(documents: DataFrame, uploaded_at: Column | None = None) -> Data
     values = {
         "id": F.col("id"),
         "filename": F.col("filename"),
-        "raw_text": F.substring("raw_text", 1, RAW_TEXT_LENGTH),
+        "raw_text": F.col("raw_text") if raw_length is None else F.substring("raw_text", 1, raw_length),
         "processed_text": F.col("processed_text"),
         "language": optional("language", F.lit(DEFAULT_LANGUAGE)),
         "source_type": optional("source_type", F.lit(UPLOAD)),

@@ -11,24 +11,13 @@ from docsim.functions import text as T
 from docsim.operators.pairs import both_long_enough, with_prepared
 from docsim.sources.corpus import DATASET, UPLOAD
 
-# Size limits and the last start of a random window.
-LOAD_LIMITS = (1, 50)
-EVALUATION_LIMITS = (10, 1000)
-TRAINING_LIMIT = 5000
+# The last start of a random window and lengths of previews.
 LAST_RANDOM_START = 300_000
 PREVIEW_ROWS = 3
 CELL_PREVIEW = 250
 TEXT_PREVIEW = 100
-
-
-def clamp(limit: int, bounds: tuple[int, int]) -> int:
-    """``limit`` within ``bounds``. The bounds protect a single machine; callers may skip them."""
-    return max(bounds[0], min(bounds[1], limit))
-
-
-def head_rows(rows: DataFrame, limit: int, index_col: str = "row_idx") -> DataFrame:
-    """The first ``limit`` rows by their 0-based row index."""
-    return rows.where(F.col(index_col) < limit)
+# Most files whose offsets are broadcast: a path and a number each.
+MAX_BROADCAST_FILES = 100_000
 
 
 def window_start(seed: int | None = None, last_start: int = LAST_RANDOM_START) -> int:
@@ -38,6 +27,8 @@ def window_start(seed: int | None = None, last_start: int = LAST_RANDOM_START) -
 
 def window_rows(rows: DataFrame, start: int, limit: int, index_col: str = "row_idx") -> DataFrame:
     """``limit`` consecutive rows from ``start``; the row index counts from 0 again."""
+    if limit < 1 or start < 0:
+        raise ValueError("limit must be at least 1 and start at least 0")
     inside = rows.where((F.col(index_col) >= start) & (F.col(index_col) < start + limit))
     return inside.withColumn(index_col, F.col(index_col) - start)
 
@@ -45,9 +36,10 @@ def window_rows(rows: DataFrame, start: int, limit: int, index_col: str = "row_i
 def with_row_index(parquet_rows: DataFrame, index_col: str = "row_idx") -> DataFrame:
     """Number the rows of a Parquet scan from 0, in file order.
 
-    Positions inside a file come with the scan. Files are few, so their offsets are summed
-    in one small window; no row is sorted or moved.
+    Positions inside a file come with the scan, and offsets are summed over one row per file. Up to
+    ``MAX_BROADCAST_FILES`` files the offsets are broadcast, so no row is sorted or moved.
     """
+    few = len(parquet_rows.inputFiles()) <= MAX_BROADCAST_FILES
     placed = parquet_rows.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
@@ -63,7 +55,7 @@ def with_row_index(parquet_rows: DataFrame, index_col: str = "row_idx") -> DataF
         )
     )
     return (
-        placed.join(offsets, "_file")
+        placed.join(F.broadcast(offsets) if few else offsets, "_file")
         .withColumn(index_col, F.col("_offset") + F.col("_position"))
         .drop("_file", "_position", "_offset")
     )
@@ -149,8 +141,8 @@ def ingest_pairs(pairs: DataFrame, first_id: int = 0, index_col: str = "row_idx"
 def ingest_summary(
     pairs: DataFrame, limit: int, start: int = 0, dataset_name: str = "", index_col: str = "row_idx"
 ) -> DataFrame:
-    """One row: what was asked for, where it started, documents saved and rows skipped."""
-    return prepared_pairs(pairs, index_col).agg(
+    """One row: what was asked for, where it started, documents saved and rows skipped of these rows."""
+    return prepared_pairs(window_rows(pairs, start, limit, index_col), index_col).agg(
         F.lit(dataset_name).alias("dataset_name"),
         F.lit(limit).alias("requested_pairs"),
         F.lit(start).alias("start_index"),

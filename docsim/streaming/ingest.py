@@ -16,16 +16,24 @@ def stream_into_corpus(
     """Append accepted documents of a stream of ``id, filename, raw_text`` to the corpus.
 
     Ingest is stateless, so every micro-batch runs the batch operator. A batch that is retried
-    after a failure is not appended twice: documents whose ids are stored are left out.
+    after a failure is not appended twice: documents whose ids are stored are left out, and so are
+    further rows of an id within a batch. The batch is kept while it is read twice.
     """
 
     def append(batch: DataFrame, _batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            store(batch)
+        finally:
+            batch.unpersist()
+
+    def store(batch: DataFrame) -> None:
         span = batch.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
         if span["low"] is None:
             return
         # the id range reaches the Parquet scan and skips most of the stored files
         stored = corpus.read().where(F.col("id").between(span["low"], span["high"])).select("id")
-        corpus.save(ingest_documents(batch).join(stored, "id", "left_anti"))
+        corpus.save(ingest_documents(batch.join(stored, "id", "left_anti").dropDuplicates(["id"])))
 
     writer = documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if available_now:

@@ -1,8 +1,10 @@
 import io
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
+from docsim.functions.rows import head_rows
 from docsim.operators.dataset_pairs import compare_dataset_pairs, newest_two
 from docsim.sources import corpus as C
 from docsim.sources import ingest
@@ -19,7 +21,9 @@ def test_table_life(spark, tmp_path):
     assert table.read().count() == 0
     table.save(spark.createDataFrame([(1, "a.pdf", "x" * 6000, "y" * 6000)], "id bigint, filename string, raw_text string, processed_text string"))
     row = table.get(1).first()
-    assert (len(row["raw_text"]), len(row["processed_text"])) == (5000, 6000)
+    assert (len(row["raw_text"]), len(row["processed_text"])) == (6000, 6000)
+    cut = C.corpus_rows(table.get(1), raw_length=5000).first()
+    assert (len(cut["raw_text"]), len(cut["processed_text"])) == (5000, 6000)
     assert (row["language"], row["source_type"], row["expected_label"]) == ("unknown", "upload", None)
     assert row["uploaded_at"] is not None
     table.save(docs(spark, [(2, "b", "t", "t", "dataset", "g", 1), (3, "c", "t", "t", "dataset", "g", 0)]))
@@ -80,12 +84,15 @@ def test_pages_in_order(spark):
 
 
 def test_limits_and_windows(spark):
-    assert [ingest.clamp(n, ingest.LOAD_LIMITS) for n in (0, 7, 99)] == [1, 7, 50]
     starts = {ingest.window_start(seed, 3) for seed in range(100)}
     assert starts == {0, 1, 2, 3}
     rows = spark.range(20).withColumnRenamed("id", "row_idx").withColumn("x", F.col("row_idx"))
+    with pytest.raises(ValueError):
+        head_rows(rows, 0)
+    with pytest.raises(ValueError):
+        ingest.window_rows(rows, -1, 3)
     assert [tuple(r) for r in ingest.window_rows(rows, 5, 2).orderBy("row_idx").collect()] == [(0, 5), (1, 6)]
-    assert ingest.head_rows(rows, 3).count() == 3
+    assert head_rows(rows, 3).count() == 3
 
 
 def test_row_index_over_several_files(spark, tmp_path):

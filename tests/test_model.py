@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from docsim.operators import classifier as K
 from docsim.operators import features as X
-from docsim.operators.logistic import fit_logistic, loss_and_gradient, minimise
 from docsim.operators.splitting import stratified_split
 from docsim.plans import inputs
 from docsim.sources import model_store
@@ -37,29 +36,6 @@ def test_vocabulary_and_weights_by_hand(spark):
     assert sum(w * w for (d, _), w in weights.items() if d == 1) == pytest.approx(1.0)
 
 
-def test_logistic_reaches_the_minimum(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(200, 5)) * [1, 0.1, 0.01, 1, 1]
-    y = (x[:, 0] + 10 * x[:, 1] + rng.normal(size=200) > 0).astype(int)
-    data = [(int(a), 1.0, list(range(5)), [float(v) for v in row]) for a, row in zip(y, x)]
-    rows = spark.createDataFrame(data, "label int, weight double, indices array<int>, values array<double>").repartition(3)
-    coefs, intercept = fit_logistic(rows, 200, 5)
-
-    def objective(beta):
-        z = x @ beta[:-1] + beta[-1]
-        p = 1 / (1 + np.exp(-z))
-        penalty = np.append(beta[:-1], 0)
-        value = np.sum(np.logaddexp(0, z) - y * z) + 0.5 * penalty @ beta
-        return value / 200, (np.append(x.T @ (p - y), (p - y).sum()) + penalty) / 200
-
-    found = np.append(coefs, intercept)
-    assert np.abs(objective(found)[1]).max() < 1e-4
-    loss, gradient = loss_and_gradient(rows, found)
-    penalty = np.append(found[:-1], 0)
-    assert (loss + 0.5 * penalty @ found) / 200 == pytest.approx(objective(found)[0])
-    assert minimise(objective, np.zeros(6))[0] == pytest.approx(found, abs=1e-3)
-
-
 def test_train_save_load_predict(spark, sf_dir, tmp_path):
     pairs = inputs.labelled_pairs(spark, sf_dir)
     model, metrics = K.train_model(pairs, "test", size=2000)
@@ -67,6 +43,7 @@ def test_train_save_load_predict(spark, sf_dir, tmp_path):
     assert row["train_examples"] + row["test_examples"] == row["total_examples"]
     assert sum(row["confusion_matrix"]) == row["test_examples"]
     assert row["accuracy"] > 0.9
+    assert 0 < model.iterations < 300
     model_store.save_model(model, str(tmp_path / "model"))
     model_store.save_metrics(metrics, str(tmp_path / "metrics"))
     assert model_store.load_metrics(spark, str(tmp_path / "metrics")).first() == row
