@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,10 +197,17 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         chosen = part if chosen is None else chosen.union(part)
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select("text", "toxic")
-    rows = rows.mapInArrow(_collector, "buckets binary, shares binary, toxic int").collect()
-    rows.sort(key=lambda r: (r.toxic, bytes(r.buckets), bytes(r.shares)))
-    bags = [(np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.shares, np.float32)) for r in rows]
-    return fit(bags, np.array([r.toxic for r in rows], np.int64), weight[0] / weight[1])
+    # bounded by the sample; an Arrow table is one copy, the bags are views of it
+    got = rows.mapInArrow(_collector, "buckets binary, shares binary, toxic int").toArrow().combine_chunks()
+    marks = np.array(got.column("toxic").to_pylist(), np.int64)
+    bags = list(zip(_views(got.column("buckets"), np.uint16), _views(got.column("shares"), np.float32)))
+    # an order that does not depend on how the rows came
+    order = sorted(range(len(bags)), key=lambda k: (marks[k], len(bags[k][0]), xxhash.xxh3_64_intdigest(bags[k][0]), xxhash.xxh3_64_intdigest(bags[k][1])))
+    return fit([bags[k] for k in order], marks[order] if order else marks, weight[0] / weight[1])
+
+
+def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for chunk in column.chunks for x in chunk]
 
 
 def score_column(model: Model, text_col: str):
