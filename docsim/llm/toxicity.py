@@ -22,8 +22,10 @@ BUCKET_BITS = 16
 DIM = 8
 EPOCHS = 8
 BATCH = 64
-RATE = 0.02
+RATE = 0.01
 DECAY = 0.3
+SHRINK = 0.3  # pull of a vector's length towards zero, so that n-grams without evidence get no weight
+RARE = 0.01  # n-grams in a smaller share of the fitted texts keep a zero vector
 SAMPLE = {1: 1500, 0: 3000}  # bound on the labelled rows of each class that the model is fitted on
 FOLDS = 5
 PIECE = 1 << 20
@@ -94,6 +96,8 @@ class Model:
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_weight: float = 1.0, seed: int = 7) -> Model:
     """Fit embeddings and softmax together; without both classes the share of class 1 is the score.
 
+    Vectors start at zero: an n-gram that the fit does not see, or sees in too few texts, has no say.
+
     ``clean_weight`` is how many clean rows each clean row of the sample stands for, per toxic one; it
     bears on the choice of the threshold, not on the fit.
     """
@@ -104,7 +108,11 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
     rng = np.random.default_rng(seed)
     held = rng.random(len(labels)) < 0.15  # for the choice of the threshold only
     rows = np.flatnonzero(~held)
-    vectors = rng.normal(0, 0.3, (1 << BUCKET_BITS, DIM)).astype(np.float32)
+    texts_with = np.zeros(1 << BUCKET_BITS, np.int64)
+    for k in rows:
+        texts_with[bags[k][0]] += 1
+    rare = texts_with < RARE * len(rows)
+    vectors = np.zeros((1 << BUCKET_BITS, DIM), np.float32)
     softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     spread = float(np.sqrt(np.median([len(b[0]) for b in bags]) + 1))  # averaging shrinks a bag by about this
@@ -129,6 +137,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
             back = error @ softmax.T
             touched, inverse = np.unique(found, return_inverse=True)
             grad = np.stack([np.bincount(inverse, share * back[owner, d], len(touched)) for d in range(DIM)], 1)
+            grad[rare[touched]] = 0
             step += 1
             for value, first, second, g, where in (
                 (vectors, state[0], state[1], grad, touched),
@@ -138,6 +147,8 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
                 first[where] = 0.9 * first[where] + 0.1 * g
                 second[where] = 0.999 * second[where] + 0.001 * g * g
                 value[where] -= RATE * DECAY * value[where] + RATE * (first[where] / (1 - 0.9**step)) / (np.sqrt(second[where] / (1 - 0.999**step)) + 1e-8)
+            size = np.linalg.norm(vectors[touched], axis=1, keepdims=True)
+            vectors[touched] *= np.maximum(0, 1 - RATE * SHRINK / np.maximum(size, 1e-9))
     line = (vectors @ (softmax[:, 1] - softmax[:, 0])) * spread
     offset = float(bias[1] - bias[0])
     values = np.array([float((line[b] * s).sum()) + offset for b, s in bags])
