@@ -3,7 +3,8 @@
 Texts are tokenised once, each followed by an end token, and cut into sequences of a fixed length. A
 sequence's number is its place in the table as read; a balanced Feistel network over the next power of four,
 walked until it falls below the number of sequences, permutes the numbers. Slots ``[k*S, (k+1)*S)`` form shard
-``k``, written as files of consecutive slots; in it every record has the same stride, so record ``slot % S`` is where a reader resumes.
+``k``; every task writes one range of consecutive slots, all ranges alike, and in a shard every record has the
+same stride, so record ``slot % S`` is where a reader resumes.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256  # free in the vocabulary above
 LENGTH = 512
 PER_SHARD = 65536
-PER_FILE = 8192  # slots of a file; a shard's files hold consecutive ranges of its slots
+PER_FILE = 8192  # slots of a task and its file; a multiple of it beyond MOST_TASKS tasks
 MOST_TASKS = 100_000
 KEY = 20240229
 ROUNDS = 6
@@ -168,11 +169,11 @@ def write_shards(
         (F.col("start") + F.col("number")).alias("number"), "doc_id", "piece", "n_tokens", "tokens"
     )
     slotted = numbered.mapInArrow(_packed(total, key), f"slot bigint, doc_id {ident}, piece int, n_tokens int, tokens binary")
-    files = max(1, -(-total // PER_FILE))
+    per_task = min(per_shard, PER_FILE) * max(1, -(-total // (min(per_shard, PER_FILE) * MOST_TASKS)))
     ordered = (
         slotted.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
         .select("shard", "slot", "doc_id", "piece", "n_tokens", "tokens")
-        .repartition(min(files, MOST_TASKS), F.floor(F.col("slot") / PER_FILE))
+        .repartitionById(max(1, -(-total // per_task)), F.floor(F.col("slot") / per_task).cast("int"))
         .sortWithinPartitions("shard", "slot")
     )
     records = ordered.mapInArrow(_records(length), f"shard int, slot bigint, doc_id {ident}, piece int, n_tokens int, record binary")
