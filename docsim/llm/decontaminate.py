@@ -27,6 +27,7 @@ SHORTEST = 24
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 22
 SPAN = 1 << 20
+MOST_HITS = 1 << 21  # q-gram hits held at once; a stretch with more is halved
 
 _FOLD = np.full(256, 32, np.uint8)  # everything else is a gap
 for _c in b"abcdefghijklmnopqrstuvwxyz0123456789":
@@ -137,6 +138,12 @@ class Pieces:
         at, low, count = at[count > 0], low[count > 0], count[count > 0]
         if not len(at):
             return
+        half, overlap = len(codes) // 2, PIECE + int(self.edits.max())
+        if count.sum() > MOST_HITS and half > 2 * overlap:
+            # any match lies whole in one of the halves
+            self._search(codes[: half + overlap], found)
+            self._search(codes[half - overlap :], found)
+            return
         hit = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
         where, owner, place = np.repeat(at, count), self.owner[hit], self.place[hit]
         width = self.edits[owner] + 1

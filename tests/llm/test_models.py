@@ -76,6 +76,15 @@ def test_shards_round_trip_and_resume(spark, edge, sf_dir):
         assert sorted(r.slot for r in later.collect()) == list(range(total // 2, total))
 
 
+def test_every_file_holds_one_range_of_slots(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(token_shards, "PER_FILE", 50)
+    path = new_path(spark, "test-ranges")
+    total = token_shards.write_shards(queries.table(spark, sf_dir, "documents"), path, length=64, per_shard=200)
+    files = token_shards.read_shards(spark, path).selectExpr("input_file_name() AS f", "slot").groupBy("f").agg({"slot": "min", "*": "count"})
+    got = sorted((r["min(slot)"], r["count(1)"]) for r in files.collect())
+    assert got == [(k, min(50, total - k)) for k in range(0, total, 50)]
+
+
 def test_no_documents_no_shards(nothing):
     assert token_shards.materialise(nothing).count() == 0
 
@@ -181,6 +190,15 @@ def test_benchmark_passages(spark, sf_dir, edge, nothing):
     assert decontaminate.matches(documents, benchmark.limit(0)).count() == 0
 
 
+def test_halving_stretches_with_many_hits_changes_nothing(spark, sf_dir, monkeypatch):
+    index = decontaminate.Pieces.build([tuple(r) for r in queries.table(spark, sf_dir, "benchmark").select("item_id", "text").collect()])
+    texts = [r.text for r in queries.table(spark, sf_dir, "documents").select("text").collect()]
+    texts.append(" ".join(t for t in texts if t))
+    whole = [index.search(t) for t in texts]
+    monkeypatch.setattr(decontaminate, "MOST_HITS", 200)
+    assert any(whole) and [index.search(t) for t in texts] == whole
+
+
 def test_best_distance_is_the_least_edit_distance_to_a_substring():
     rng = random.Random(8)
     for _ in range(60):
