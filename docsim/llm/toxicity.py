@@ -25,7 +25,9 @@ BATCH = 64
 RATE = 0.01
 DECAY = 0.3
 SHRINK = 0.3  # pull of a vector's length towards zero, so that n-grams without evidence get no weight
-RARE = 0.01  # n-grams in a smaller share of the fitted texts keep a zero vector
+EVIDENCE = 20.0  # G-squared of an n-gram against the labels at which it has half of its say
+FEW = 20  # with fewer toxic rows than this kept out of the fit, the threshold is set by cross-fitting
+PARTS = 5
 SAMPLE = {1: 1500, 0: 3000}  # bound on the labelled rows of each class that the model is fitted on
 FOLDS = 5
 PIECE = 1 << 20
@@ -96,7 +98,7 @@ class Model:
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_weight: float = 1.0, seed: int = 7) -> Model:
     """Fit embeddings and softmax together; without both classes the share of class 1 is the score.
 
-    Vectors start at zero: an n-gram that the fit does not see, or sees in too few texts, has no say.
+    Vectors start at zero: an n-gram that the fit does not see has no say, however often it stands.
 
     ``clean_weight`` is how many clean rows each clean row of the sample stands for, per toxic one; it
     bears on the choice of the threshold, not on the fit.
@@ -107,15 +109,52 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
         return Model(np.zeros(1 << BUCKET_BITS), np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
     held = rng.random(len(labels)) < 0.15  # for the choice of the threshold only
-    rows = np.flatnonzero(~held)
-    texts_with = np.zeros(1 << BUCKET_BITS, np.int64)
+    spread = float(np.sqrt(np.median([len(b[0]) for b in bags]) + 1))  # averaging shrinks a bag by about this
+    if labels[held].sum() >= FEW:
+        line, offset = _line(bags, labels, np.flatnonzero(~held), spread, rng)
+        values = _logits(bags, line, offset)
+        return Model(line, offset - _threshold(values[held], labels[held], values, labels, clean_weight))
+    part = np.zeros(len(labels), np.int64)
+    for kind in (0, 1):
+        own = rng.permutation(np.flatnonzero(labels == kind))
+        part[own] = np.arange(len(own)) % PARTS
+    apart = np.zeros(len(labels))
+    for k in range(PARTS):
+        rows = np.flatnonzero(part != k)
+        if 0 < labels[rows].sum() < len(rows):
+            out = np.flatnonzero(part == k)
+            apart[out] = _logits([bags[r] for r in out], *_line(bags, labels, rows, spread, rng))
+    line, offset = _line(bags, labels, np.arange(len(labels)), spread, rng)
+    return Model(line, offset - _threshold(apart, labels, _logits(bags, line, offset), labels, clean_weight))
+
+
+def _logits(bags: list[tuple[np.ndarray, np.ndarray]], line: np.ndarray, offset: float) -> np.ndarray:
+    return np.array([float((line[b] * s).sum()) + offset for b, s in bags])
+
+
+def _evidence(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How far each bucket's input counts, between 0 and 1: smooth in G-squared of its texts per class.
+
+    It is measured against the share of the classes, so a few texts of the smaller class weigh much and
+    as many of the larger one little. No bucket that tells the classes apart at all is cut.
+    """
+    texts = np.zeros((2, 1 << BUCKET_BITS))
     for k in rows:
-        texts_with[bags[k][0]] += 1
-    rare = texts_with < RARE * len(rows)
+        texts[labels[k], bags[k][0]] += 1
+    expected = texts.sum(0) * (np.bincount(labels[rows], minlength=2) / len(rows))[:, None]
+    ratio = np.divide(texts, expected, out=np.ones_like(texts), where=texts > 0)
+    g = np.maximum(0, 2 * (texts * np.log(ratio)).sum(0))
+    return (g / (g + EVIDENCE)).astype(np.float32)
+
+
+def _line(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rows: np.ndarray, spread: float,
+          rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Weight per bucket and bias, fitted on ``rows``."""
+    rows = rows.copy()
+    known = _evidence(bags, labels, rows) * np.float32(spread)
     vectors = np.zeros((1 << BUCKET_BITS, DIM), np.float32)
     softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    spread = float(np.sqrt(np.median([len(b[0]) for b in bags]) + 1))  # averaging shrinks a bag by about this
     state = [np.zeros_like(x) for x in (vectors, vectors, softmax, softmax, bias, bias)]
     step = 0
     for _ in range(EPOCHS):
@@ -123,7 +162,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
         for at in range(0, len(rows), BATCH):
             chosen = rows[at : at + BATCH]
             found = np.concatenate([bags[k][0] for k in chosen])
-            share = np.concatenate([bags[k][1] for k in chosen]) * np.float32(spread)
+            share = np.concatenate([bags[k][1] for k in chosen]) * known[found]
             sizes = np.array([len(bags[k][0]) for k in chosen])
             owner = np.repeat(np.arange(len(chosen)), sizes)
             hidden = np.stack(
@@ -137,7 +176,6 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
             back = error @ softmax.T
             touched, inverse = np.unique(found, return_inverse=True)
             grad = np.stack([np.bincount(inverse, share * back[owner, d], len(touched)) for d in range(DIM)], 1)
-            grad[rare[touched]] = 0
             step += 1
             for value, first, second, g, where in (
                 (vectors, state[0], state[1], grad, touched),
@@ -149,15 +187,12 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
                 value[where] -= RATE * DECAY * value[where] + RATE * (first[where] / (1 - 0.9**step)) / (np.sqrt(second[where] / (1 - 0.999**step)) + 1e-8)
             size = np.linalg.norm(vectors[touched], axis=1, keepdims=True)
             vectors[touched] *= np.maximum(0, 1 - RATE * SHRINK / np.maximum(size, 1e-9))
-    line = (vectors @ (softmax[:, 1] - softmax[:, 0])) * spread
-    offset = float(bias[1] - bias[0])
-    values = np.array([float((line[b] * s).sum()) + offset for b, s in bags])
-    return Model(line, offset - _threshold(values[held], labels[held], values, labels, clean_weight))
+    return (vectors @ (softmax[:, 1] - softmax[:, 0])) * known, float(bias[1] - bias[0])
 
 
 def _threshold(held: np.ndarray, held_labels: np.ndarray, values: np.ndarray, labels: np.ndarray,
                clean_weight: float) -> float:
-    """The logit with the best F1 on the rows kept out of the fit (on all rows if these lack a class)."""
+    """The logit with the best F1 on the rows kept out of the fit (on all rows if these hold almost no toxic one)."""
     if held_labels.sum() < 5:
         held, held_labels = values, labels
     order = np.argsort(-held, kind="stable")

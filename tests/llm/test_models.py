@@ -117,6 +117,29 @@ def test_toxicity_learns_misspelt_words_and_takes_edge_cases(spark, edge, nothin
     assert 0 <= blank.score("any text") <= 1
 
 
+@pytest.mark.parametrize("toxic,clean,insults,least", [(90, 3000, 200, 0.85), (30, 1000, 40, 0.9)])
+def test_toxicity_learns_a_long_tail_of_insults_from_few_toxic_rows(toxic, clean, insults, least):
+    rng = random.Random(1)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 9)))
+
+    calm, bad = [word() for _ in range(2000)], [word() for _ in range(insults)]
+
+    def text(is_toxic):
+        words = rng.choices(calm, [1 / (k + 1) for k in range(2000)], k=60)
+        for _ in range(4 * is_toxic):
+            words[rng.randrange(60)] = rng.choice(bad)
+        return " ".join(words)
+
+    labels = np.array([1] * toxic + [0] * clean)
+    model = toxicity.fit([toxicity.counts(text(y)) for y in labels], labels)
+    scores = [(y, model.score(text(y))) for y in [1] * 100 + [0] * 400]
+    above, below = [s for y, s in scores if y], [s for y, s in scores if not y]
+    assert np.mean([a > b for a in above for b in below]) > least
+    assert sum(s >= 0.5 for s in above) >= 25 and sum(s >= 0.5 for s in below) <= 20
+
+
 def test_buckets_do_not_depend_on_cutting(monkeypatch):
     text = "some words and more words of a text " * 40
     whole = np.concatenate(list(toxicity.bag(text)))
