@@ -1,4 +1,4 @@
-"""Mixing to target weights with soft domains: posteriors from labelled rows, rates by projected gradient.
+"""Mixing to target weights with soft domains: posteriors from labelled rows, rates by a Newton method.
 
 Built from DataFrame and SQL functions only. A naive Bayes classifier over hashed words, fitted on a bounded
 sample of labelled rows, gives each document a posterior over domains. Its rate r >= 0 says how often it
@@ -7,8 +7,9 @@ minimise
 
     sum_k (A_k - T_k)^2 / (2 S)  +  ridge/2 * sum(n (r - 1)^2)        S = all tokens, T = targets, sum T = S
 
-by gradient steps in the metric of the tokens, each followed by r = max(0, r). One step needs the sums A_k
-only, so a job per step sends K numbers to the driver.
+over r >= 0. The minimum is r = max(0, 1 - sum_k(e_k p_k) / ridge) with the K numbers e_k = (A_k - T_k) / S, which
+are found by Newton steps on the convex function of K variables whose gradient is e + T/S - A(e)/S. A step needs
+sums over the documents only, so a job per step sends about K^2/2 numbers to the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,10 @@ BUCKETS = 4096
 SAMPLE = 20_000  # bound on the labelled rows the classifier is fitted on
 SMOOTHING = 1.0
 TEMPER = 0.1  # words of a text repeat, so their evidence counts for a part
-RIDGE = 0.005
-STEPS = 40
-TOLERANCE = 1e-4
-PER_WRITE = 8  # steps between two writes of the rates
+RIDGE = 0.005  # as a part of the smallest domain's share, times the number of domains
+LEAST_RIDGE = 1e-7  # keeps the sums' rounding out of the rates
+STEPS = 200  # jobs after which the fit fails with an error; about ten are needed
+TOLERANCE = 1e-4  # of the rates
 MAX_DOMAINS = 64
 
 
@@ -109,35 +111,54 @@ def posteriors(documents: DataFrame, domains: Domains, id_cols: list[str], text_
 
 
 def fit_rates(soft: DataFrame, targets: list[float], keep_all: bool = False, ridge: float = RIDGE, steps: int = STEPS) -> DataFrame:
-    """``soft`` with ``rate``: the projected-gradient solution for target shares ``targets`` (scaled to sum 1).
+    """``soft`` with ``rate``: the minimum for target shares ``targets`` (scaled to sum 1).
 
-    With ``keep_all`` the total grows until no domain need shrink, and rates are projected on r >= 1, so
-    every document stays at least once.
+    The ridge is scaled to the smallest domain with a target, so that it does not hold a rare domain back.
+    With ``keep_all`` the total grows until no domain need shrink, and rates are at least 1, so every
+    document stays at least once. Raises if the rates are not within ``TOLERANCE`` after ``steps`` jobs.
     """
     kinds = range(len(targets))
-    rows = written(soft.withColumn("rate", F.lit(1.0)), "rates")
-    sums = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p{k}")).alias(f"a{k}") for k in kinds]
-    start = rows.agg(F.sum("n_tokens").alias("s"), *sums).first()
+    rows = written(soft, "rates")
+    start = rows.agg(F.sum("n_tokens").alias("s"), *[F.sum(F.col("n_tokens") * F.col(f"p{k}")).alias(f"a{k}") for k in kinds]).first()
     total = float(start.s or 0)
     if not total:
-        return rows
-    shares = [t / sum(targets) for t in targets]
-    grow = max([start[f"a{k}"] / (total * s) for k, s in enumerate(shares) if s > 0] + [1.0]) if keep_all else 1.0
-    wanted = [s * grow for s in shares]
+        return rows.withColumn("rate", F.lit(1.0))
+    shares = np.array(targets, float) / sum(targets)
+    own = np.array([start[f"a{k}"] for k in kinds]) / total
+    ridge = max(LEAST_RIDGE, ridge * min(1.0, len(targets) * own[shares > 0].min()))
+    wanted = shares * (max([own[k] / s for k, s in enumerate(shares) if own[k] > 0 and s > 0] + [1.0]) if keep_all else 1.0)
     least = 1.0 if keep_all else 0.0
-    step = 1.0 / (1.0 + ridge)  # the largest curvature in this metric is at most 1 + ridge
-    pending, before, got = 0, None, start
-    for _ in range(steps):
-        errors = [got[f"a{k}"] / total - w for k, w in enumerate(wanted)]
-        if before and max(abs(e - b) for e, b in zip(errors, before)) < TOLERANCE * ridge:
-            break
-        pull = sum((F.lit(e) * F.col(f"p{k}") for k, e in enumerate(errors)), F.lit(0.0))
-        rows = rows.withColumn("rate", F.greatest(F.lit(least), F.col("rate") - step * (pull + ridge * (F.col("rate") - 1.0))))
-        before, pending = errors, pending + 1
-        if pending == PER_WRITE:
-            rows, pending = written(rows, "rates"), 0
-        got = rows.agg(*sums).first()
-    return written(rows, "rates") if pending else rows
+
+    def pull(e: np.ndarray) -> Column:
+        return sum((F.lit(float(x)) * F.col(f"p{k}") for k, x in enumerate(e)), F.lit(0.0))
+
+    def sums(e: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Value, gradient and curvature at ``e``."""
+        free, n = F.col("free"), F.col("n_tokens")
+        value = F.when(free > least, ridge / 2 * free * free).otherwise(ridge / 2 * least**2 - least * ridge * (least - free))
+        at = rows.withColumn("free", 1.0 - pull(e) / ridge).withColumn("held", F.when(free > least, n).otherwise(F.lit(0)))
+        got = at.agg(
+            F.sum(n * value).alias("v"),
+            *[F.sum(n * F.greatest(F.lit(least), free) * F.col(f"p{k}")).alias(f"a{k}") for k in kinds],
+            *[F.sum(F.col("held") * F.col(f"p{j}") * F.col(f"p{k}")).alias(f"c{j}_{k}") for j in kinds for k in range(j, len(targets))],
+        ).first()
+        curved = np.array([[got[f"c{min(j, k)}_{max(j, k)}"] for k in kinds] for j in kinds]) / total
+        grad = e + wanted - np.array([got[f"a{k}"] for k in kinds]) / total
+        return e @ e / 2 + wanted @ e + got.v / total, grad, np.eye(len(targets)) + curved / ridge
+
+    e = np.zeros(len(targets))
+    (value, grad, curved), used, size = sums(e), 1, 1.0
+    while np.abs(grad).max() > TOLERANCE * ridge:
+        if used >= steps:
+            raise RuntimeError(f"mixing rates did not converge in {steps} jobs, residual {np.abs(grad).max() / ridge:.3g}")
+        step = -np.linalg.solve(curved, grad)
+        new = sums(e + size * step)
+        used += 1
+        if new[0] <= value + 1e-4 * size * (grad @ step) or np.abs(new[1]).max() < np.abs(grad).max() / 2:
+            e, (value, grad, curved), size = e + size * step, new, 1.0
+        else:
+            size /= 2
+    return rows.withColumn("rate", F.greatest(F.lit(least), 1.0 - pull(e) / ridge))
 
 
 def copies_column(rate: Column, *key: Column) -> Column:

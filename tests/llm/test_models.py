@@ -34,6 +34,25 @@ def test_rates_equal_a_plain_projected_gradient(spark):
     assert min(r.rate for r in kept) >= 1
 
 
+@pytest.mark.parametrize(
+    "shares,targets", [([99, 1], [0.75, 0.25]), ([60, 39, 1], [0.6, 0.35, 0.05]), ([98, 1, 1], [0.02, 0.49, 0.49])]
+)
+def test_rare_domains_reach_their_targets_with_the_defaults(spark, shares, targets):
+    rows = [(100, *[float(j == k) for j in range(len(shares))]) for k, n in enumerate(shares) for _ in range(n)]
+    soft = spark.createDataFrame(rows, "n_tokens bigint, " + ", ".join(f"p{k} double" for k in range(len(shares))))
+    for keep_all in (False, True):
+        got = mixing.fit_rates(soft, targets, keep_all=keep_all).collect()
+        tokens = np.array([sum(r.rate * r.n_tokens * r[f"p{k}"] for r in got) for k in range(len(shares))])
+        assert np.abs(tokens / tokens.sum() / np.array(targets) - 1).max() < 0.03
+        assert min(r.rate for r in got) >= keep_all
+
+
+def test_rates_that_have_not_converged_are_an_error(spark):
+    soft = spark.createDataFrame([(100, 1.0, 0.0), (1, 0.0, 1.0)], "n_tokens bigint, p0 double, p1 double")
+    with pytest.raises(RuntimeError, match="converge"):
+        mixing.fit_rates(soft, [0.5, 0.5], steps=1)
+
+
 def test_mixing_of_edge_cases(edge, nothing, spark):
     labels = spark.createDataFrame([(1, "a"), (3, "b"), (3, None), (None, "a"), (7, "b")], "doc_id bigint, domain string")
     rows = mixing.mixed_rates(edge, labels, {"a": 0.5, "b": 0.5}).collect()
