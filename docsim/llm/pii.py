@@ -105,7 +105,10 @@ _SPOKEN = re.compile(
     re.I,
 )
 _AT_ONE, _DOT_ONE = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-_SPOKEN_HINT = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]|\bat\b.{1,80}?\bdot\b", re.I | re.S)
+# What _SPOKEN asks for from its sign on, so no text that it matches is passed over.
+_SPOKEN_HINT = re.compile(
+    rf"(?:@|(?:[\[({{<]\s{{0,3}}(?:at|@)\s{{0,3}}[\])}}>]|at(?=\s))\s{{0,3}})[A-Za-z0-9-]{{1,63}}(?:\.|{_DOT})[A-Za-z0-9-]", re.I
+)
 _SPELLED_HINT = re.compile(rf"\b(?:{_NUMBER})[ ,.-]{{1,3}}(?:{_NUMBER}|[0-9]+)\b", re.I)
 
 
@@ -166,16 +169,17 @@ def _spoken_edits(text: str) -> list[tuple[int, int, str]]:
 
 def find_disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Identifiers that appear only in the rewritten text, as source spans clear of the base ones."""
-    glyphs, spelled, spoken = bool(_GLYPH.search(text)), bool(_SPELLED_HINT.search(text)), bool(_SPOKEN_HINT.search(text))
-    if not (glyphs or spelled or spoken):
+    # each rule looks at its own stretch only: what else the text holds does not switch it on
+    traced, edits = Traced.plain(text), [(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _GLYPH.finditer(text)]
+    changed = bool(edits)
+    if edits:
+        traced = traced.rewrite(edits)
+    for hint, rule in ((_SPELLED_HINT, _spelled_edits), (_SPOKEN_HINT, _spoken_edits)):
+        edits = rule(traced.text) if hint.search(traced.text) else []
+        if edits:
+            traced, changed = traced.rewrite(edits), True
+    if not changed:
         return []
-    traced = Traced.plain(text)
-    if glyphs:
-        traced = traced.rewrite([(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _GLYPH.finditer(text)])
-    if spelled or glyphs:
-        traced = traced.rewrite(_spelled_edits(traced.text))
-    if spoken or glyphs:
-        traced = traced.rewrite(_spoken_edits(traced.text))
     taken, out = [(s, e) for s, _, e in base], []
     for start, kind, end in find(traced.text):
         a, b = traced.source(start, end)

@@ -173,6 +173,15 @@ def test_disguises_map_back_to_the_source(text, kind, span):
     assert span not in pii.redact(text, pii.spans_text(found))
 
 
+@pytest.mark.parametrize("elsewhere", ["", " and a dash \u2013 elsewhere", " with [at] elsewhere"])
+@pytest.mark.parametrize(
+    "span", ["bob@example dot com", "bob at example.com", "bob@example [dot] com", "bob at mail.example dot com", "bob [at] one two three four.com"]
+)
+def test_half_disguised_addresses_are_found_whatever_stands_elsewhere(span, elsewhere):
+    text = f"write, {span}, now{elsewhere}"
+    assert [(pii.KINDS[k], text[a:b]) for a, k, b in pii.find_disguised(text, pii.find(text))] == [("email", span)]
+
+
 def test_ordinary_prose_is_not_disguised_data():
     for text in ("we met at noon. two three four people came", "look at it, dot your i", "one two three", "five at a time"):
         assert not pii.find_disguised(text, pii.find(text))
