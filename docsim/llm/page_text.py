@@ -13,6 +13,7 @@ marks.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -35,12 +36,13 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "script style noscript template head title svg math iframe object canvas audio video select button textarea datalist".split()
+    "script style noscript template title svg math iframe object canvas audio video select button textarea datalist".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol "
     "p pre section table ul".split()
 )
+ENDS_SKIPPED = CLOSES_P | frozenset("body caption dd dt figcaption li tbody td tfoot th thead tr".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("table ul ol dl div article section main body td".split())
 
@@ -60,21 +62,83 @@ PRIOR_EDGES = np.array([[0.5, -6.0], [0.0, 0.5]])
 _TOKEN = re.compile(r"[a-z]+")
 _SIGNS = re.compile(r"[©®]|all rights reserved", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
+_COMMENT = re.compile(r"<!---?>")
+_COMMENT_END = re.compile(r"--(?:!|\s*)>")
 _SPACES = re.compile(r"\s+")
 
 
-class Tree(HTMLParser):
-    """Nodes of a page in page order: parent, features, and the text of blocks."""
+class Events(HTMLParser):
+    """Tags and texts of a page in page order, as (kind, tag or text, attributes)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.events: list[tuple[str, str, list]] = []
+
+    def parse_comment(self, i, report=True):
+        """End of a comment; one that is not closed goes to the end of the page."""
+        found = _COMMENT.match(self.rawdata, i) or _COMMENT_END.search(self.rawdata, i + 4)
+        return found.end() if found else len(self.rawdata)
+
+    def handle_starttag(self, tag, attrs):
+        self.events.append(("start", tag, attrs))
+
+    def handle_startendtag(self, tag, attrs):
+        self.events.append(("both", tag, attrs))
+
+    def handle_endtag(self, tag):
+        self.events.append(("end", tag, []))
+
+    def handle_data(self, data):
+        self.events.append(("data", data, []))
+
+
+def skipped_until(events: list[tuple[str, str, list]]) -> dict[int, int]:
+    """For the start of each skipped element the event to go on with.
+
+    That is what follows its end tag. An element whose end tag does not come before that of an element around it
+    is not closed: it ends at the first block-level tag or at the end tag of an element around it.
+    """
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}  # how often each tag is on the stack
+    blocks: list[int] = []  # events that end an unclosed element
+    for k, (kind, tag, _) in enumerate(events):
+        if kind == "start" and tag not in INLINE and tag not in VOID:
+            stack.append((tag, k))
+            opened[tag] = opened.get(tag, 0) + 1
+        elif kind == "end" and opened.get(tag):
+            while True:
+                top, at = stack.pop()
+                opened[top] -= 1
+                if top == tag:
+                    break
+                if top in SKIPPED:
+                    out[at] = k
+            if tag in SKIPPED:
+                out[at] = -k - 1  # closed
+        if kind in ("start", "both") and tag in ENDS_SKIPPED:
+            blocks.append(k)
+    for tag, at in stack:
+        if tag in SKIPPED:
+            out[at] = len(events)
+    for at, end in out.items():
+        if end < 0:
+            out[at] = -end
+        else:
+            block = bisect.bisect_right(blocks, at)
+            out[at] = min(end, blocks[block]) if block < len(blocks) else end
+    return out
+
+
+class Tree:
+    """Nodes of a page in page order: parent, features, and the text of blocks."""
+
+    def __init__(self):
         self.parent: list[int] = [-1]
         self.rows: list[list[float]] = [self._features()]
         self.text: list[str | None] = [None]
         self.marked: list[int] = [0]  # 1 an article starts, -1 something else starts
         self.stack: list[tuple[str, int]] = [("", 0)]
-        self.skip = 0
-        self.skipped = ""
         self.links = 0
         self.parts: list[str] = []
         self.linked = 0
@@ -109,12 +173,8 @@ class Tree(HTMLParser):
         return len(self.parent) - 1
 
     def handle_starttag(self, tag, attrs):
-        if self.skip:
-            self.skip += tag == self.skipped
-            return
-        if tag in SKIPPED:
-            self.skip, self.skipped = 1, tag
-            return
+        if tag == "head":
+            return  # its end tag is optional; what is skipped in it is skipped by itself
         if tag == "br":
             self.parts.append(" ")
             return
@@ -157,9 +217,6 @@ class Tree(HTMLParser):
                 return
 
     def handle_endtag(self, tag):
-        if self.skip:
-            self.skip -= tag == self.skipped
-            return
         if tag in INLINE:
             self.links = max(0, self.links - (tag == "a"))
             return
@@ -171,20 +228,32 @@ class Tree(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not self.skip:
-            self.parts.append(data)
-            if self.links:
-                self.linked += len(data.strip())
+        self.parts.append(data)
+        if self.links:
+            self.linked += len(data.strip())
 
 
 def parse(html: str | None) -> Tree:
     """The tree of a page; a tag or comment cut off at the end is dropped."""
-    tree = Tree()
-    html = html or ""
-    if html.rfind("<!--") > html.rfind("-->"):
-        html = html[: html.rfind("<!--")]
-    tree.feed(_CUT_TAG.sub("", html))
-    tree.close()
+    parser, tree = Events(), Tree()
+    parser.feed(_CUT_TAG.sub("", html or ""))
+    parser.close()
+    events = parser.events
+    until, k = skipped_until(events), 0
+    while k < len(events):
+        kind, tag, attrs = events[k]
+        if k in until:
+            k = until[k]
+            continue
+        if kind == "start":
+            tree.handle_starttag(tag, attrs)
+        elif kind == "both":
+            tree.handle_startendtag(tag, attrs)
+        elif kind == "end":
+            tree.handle_endtag(tag)
+        else:
+            tree.handle_data(tag)
+        k += 1
     tree.flush()
     return tree
 

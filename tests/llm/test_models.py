@@ -190,6 +190,26 @@ def test_main_text_of_marked_and_unmarked_pages(spark):
     assert page_text.page_texts(df.limit(0), page_text.Model()).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<head><title>t</title><style>p{}</style><body><article>{}</article></body>",
+        "<head><title>t</title><article>{}</article>",
+        "<body><script>x='<!--'</script><article>{}</article></body>",
+        "<body><style>/* <!-- */</style><!--> <article>{}</article></body>",
+        "<body><div><select><option>one<option>two</div><article>{}</article></body>",
+        "<body><select><option>one<article>{}</article></body>",
+        "<body><div><button>Go</div><article>{}</article><button>Stop</button></body>",
+        "<body><article><svg><path d='x'>{}</article></body>",
+        "<body><template><div><p>Hidden sentence here.</p></div></template><article>{}</article></body>",
+        "<body><button><div>Press</div></button><article>{}</article><noscript><p>Without scripts.</p></noscript></body>",
+    ],
+)
+def test_unclosed_elements_and_comments_in_scripts_do_not_drop_the_article(page):
+    text = page_text.Model().extract(page.replace("{}", "<p>First sentence of it.</p><p>Second sentence of it.</p>"))
+    assert text == "First sentence of it.\nSecond sentence of it."
+
+
 def test_marginals_equal_enumeration():
     tree = page_text.parse("<body><div><p>Some text.</p><nav><a>x</a></nav></div><p>More</p></body>")
     model = page_text.Model()
