@@ -43,7 +43,8 @@ def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     if not len(hashes):
         return hashes
     width = min(width, len(hashes))
-    return np.unique(Sequences(hashes).of(np.arange(len(hashes) - width + 1), width))
+    found = np.sort(Sequences(hashes).of(np.arange(len(hashes) - width + 1), width))
+    return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
 def linked(shared: int, a: int, b: int, similarity: tuple[int, int] = SIMILARITY) -> bool:
@@ -59,19 +60,18 @@ def _segments(band: int, similarity: tuple[int, int]) -> int:
 def _segment_keys(shingle_hashes: np.ndarray, band: int, count: int, take: int) -> np.ndarray:
     """Keys of the first ``take`` of ``count`` segments, those with most set bits first."""
     segment = ((shingle_hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-    starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
-    bits = np.diff(np.append(starts, len(segment)))
+    starts = np.concatenate(([0], np.flatnonzero(segment[1:] != segment[:-1]) + 1))
+    bits = np.diff(starts, append=len(segment)).astype(np.uint64)
     # The number of the segment and the low half of a hash name the bit; shingles that flip the same bit cancel out.
     parity = np.bitwise_xor.reduceat(mix(shingle_hashes & np.uint64(0xFFFFFFFF)), starts)
     number = segment[starts]
     if len(number) < take:
         empty = np.setdiff1d(np.arange(count, dtype=np.uint64), number)
         number = np.concatenate((number, empty))
-        parity = np.concatenate((parity, np.zeros(len(empty), np.uint64)))
-        bits = np.concatenate((bits, np.zeros(len(empty), np.int64)))
-    keys = mix(parity ^ mix(number + np.uint64(band << 32) + np.uint64(1)))
-    order = (np.uint64(255) - np.minimum(bits, 255).astype(np.uint64)) << np.uint64(56)
-    return keys[np.argsort(order | (keys >> np.uint64(8)))[:take]]
+        parity, bits = (np.concatenate((x, np.zeros(len(empty), np.uint64))) for x in (parity, bits))
+    keys = mix(parity ^ mix(number + np.uint64(band << 32) + np.uint64(1))) >> np.uint64(8)
+    keys |= (np.uint64(255) - np.minimum(bits, np.uint64(255))) << np.uint64(56)
+    return np.sort(keys)[:take]
 
 
 def segment_keys(shingle_hashes: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
