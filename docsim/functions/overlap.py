@@ -23,7 +23,7 @@ SHARED_FIELDS = ("dot", "shared_small", "shared_large")
 SHARED_TYPE = Ty.StructType([Ty.StructField(name, Ty.LongType()) for name in SHARED_FIELDS])
 
 
-def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+def prepared_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Row number of every word, and the words, of an array of space-separated texts."""
     split = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
@@ -41,8 +41,8 @@ def _sum_by_row(rows: np.ndarray, values: np.ndarray | None, n: int) -> np.ndarr
 def count_overlap(texts_a: pa.Array, texts_b: pa.Array) -> dict[str, np.ndarray]:
     """The integer sums of :data:`OVERLAP_FIELDS` for two arrays of prepared texts."""
     n = len(texts_a)
-    rows_a, words_a = _words(texts_a)
-    rows_b, words_b = _words(texts_b)
+    rows_a, words_a = prepared_words(texts_a)
+    rows_b, words_b = prepared_words(texts_b)
     coded = pa.concat_arrays([words_a, words_b]).dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     width = max(len(coded.dictionary), 1)

@@ -6,8 +6,6 @@ only a handful of numbers is shuffled.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -187,14 +185,16 @@ def evaluation_examples(
 def sweep_values(
     start: float = SWEEP_START, end: float = SWEEP_END, step: float = SWEEP_STEP
 ) -> list[tuple[float, float]]:
-    """Thresholds and percentages of a sweep.
+    """Thresholds and percentages of a sweep: whole hundredths from ``start`` on, without ``end``.
 
-    Whether ``end`` belongs to it depends on floating-point sums of the step: the default sweep
-    stops at 0.59. The values themselves are whole hundredths.
+    Start, end and step must be whole hundredths between 0 and 1, the step at least one.
     """
-    reached = itertools.takewhile(lambda v: v <= end, itertools.accumulate(itertools.repeat(step), initial=start))
-    hundredths = [round(100 * value) for value in reached]
-    return [(h / 100, float(h)) for h in hundredths]
+    first, last, by = (round(100 * value) for value in (start, end, step))
+    if any(abs(100 * value - whole) > 1e-6 for value, whole in ((start, first), (end, last), (step, by))):
+        raise ValueError("start, end and step must be whole hundredths")
+    if by < 1 or not 0 <= first <= last <= 100:
+        raise ValueError("start and end must lie between 0 and 1, in this order, and step must be 0.01 or more")
+    return [(percent / 100, float(percent)) for percent in range(first, last, by)]
 
 
 def sweep_thresholds(

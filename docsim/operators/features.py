@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from docsim.functions import similarity as S
 from docsim.functions import text as T
+from docsim.operators.frequent_terms import CAPACITY, frequent_terms
 from docsim.operators.pairs import with_set_measures
 from docsim.session import written
 
@@ -59,16 +60,19 @@ def document_frequency(docs: DataFrame, prepared_col: str) -> DataFrame:
     return counts.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
 
-def fit_vocabulary(texts: DataFrame, prepared_col: str, size: int = VOCABULARY_SIZE) -> DataFrame:
+def fit_vocabulary(
+    texts: DataFrame, prepared_col: str, size: int = VOCABULARY_SIZE, capacity: int = CAPACITY
+) -> DataFrame:
     """``term, idx, total, df, idf``: the most frequent terms, numbered in alphabetical order.
 
-    Counts are combined before the shuffle. The alphabet decides between equal counts.
+    The alphabet decides between equal counts. Tasks propose terms, and only proposed terms are counted
+    over all texts (:mod:`docsim.operators.frequent_terms`).
     """
-    counts = (
-        _terms(texts, [], S.term_bag(grams(F.col(prepared_col))))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    )
+
+    def all_terms() -> DataFrame:
+        return _terms(texts, [], S.term_bag(grams(F.col(prepared_col))))
+
+    counts = frequent_terms(texts, prepared_col, size, all_terms, capacity)
     top = counts.orderBy(F.desc("total"), "term").limit(size)
     n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
     # at most ``size`` rows are left, so one window numbers them

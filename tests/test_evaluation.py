@@ -1,3 +1,5 @@
+import pytest
+
 from docsim.operators import evaluation as E
 from docsim.plans import inputs
 
@@ -44,3 +46,11 @@ def test_report_of_one_class(spark):
     assert report["No plagio"]["precision"] == 1.0 and report["No plagio"]["recall"] == 0.75
     assert report["Plagio"]["f1_score"] == 0.0 and report["Plagio"]["support"] == 0
     assert report["weighted avg"]["recall"] == 0.75 and report["macro avg"]["recall"] == 0.375
+
+
+def test_sweep_values_are_whole_hundredths():
+    assert E.sweep_values(0.0, 1.0, 0.25) == [(0.0, 0.0), (0.25, 25.0), (0.5, 50.0), (0.75, 75.0)]
+    assert E.sweep_values(0.3, 0.3) == []
+    for wrong in ((0.1, 0.6, 0.005), (0.1, 0.6, 0.0), (0.1, 0.6, -0.01), (0.6, 0.1, 0.01), (-0.1, 0.6, 0.01), (0.1, 1.1, 0.01)):
+        with pytest.raises(ValueError):
+            E.sweep_values(*wrong)
