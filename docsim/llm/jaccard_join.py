@@ -6,25 +6,30 @@ and ``b`` shingles at similarity ``s`` or more differ in at most ``(a + b) (1 -
 
 A size band (all sizes between two powers of two) cuts its sketches into ``K`` segments. Of these, two
 linked sets have all but ``d`` alike, ``d`` being that bound, so any ``d + 1`` segments of one set, the first
-in an order common to all sets, meet one of the first ``d + 1`` of the other. Segments with many set bits
-come first, as they are shared by few. A set whose partners may lie in the next band is also cut by that
-band's ``K``. A segment is known by the XOR of hashes of its set bits; its 2**32 bits are never laid out.
+in an order common to all sets, meet one of the first ``d + 1`` of the other. Segments with many bits of
+uncommon shingles come first, as they are shared by few; which shingles are common is counted over all
+documents beforehand, and decides the order only. A set whose partners may lie in the next band is also cut
+by that band's ``K``. A segment is known by the XOR of hashes of its set bits; its 2**32 bits are never laid
+out.
 
 Copies of one set are one member. Segments are sorted by range, which splits a hot segment over tasks, and
-read in order. A member first meets only the least member of its segments. What that leaves apart meets
-within a segment only where two members belong to different components by then, so a group of many near
-copies is never opened into its pairs, and no link between components is lost. All pairs that meet are
-verified on their sets.
+read in order. Two members of a segment are candidates only if a parity of 512 bits that goes with them allows
+it. Members first meet in rounds, each one other member that shares many segments with it and is not
+connected with it yet. Pairs of a segment are opened only for members that belong to different components by
+then, so a group of many near copies is never opened into its pairs, and no link between components is lost.
+All candidates are verified on their sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsim.llm.graph import components
@@ -35,6 +40,14 @@ SHINGLE = 5
 SIMILARITY = (80, 100)
 #: Sets that a task remembers, so that their copies are not cut again.
 REMEMBERED = 1 << 18
+#: Shingles that a task's counts are cut down to; common ones are at most as many.
+COUNTED = 1 << 16
+#: Bits of the parity that decides whether two members that meet are looked at.
+PARITY = 512
+#: A round that links one member in so many, or fewer, is the last.
+YIELD = 20
+#: Shingles that a task gathers between two cuts.
+GATHERED = 1 << 20
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -57,47 +70,103 @@ def _segments(band: int, similarity: tuple[int, int]) -> int:
     return max(2, -(-18 * (2 << band) * (high - low) // (7 * (high + low))))
 
 
-def _segment_keys(shingle_hashes: np.ndarray, band: int, count: int, take: int) -> np.ndarray:
-    """Keys of the first ``take`` of ``count`` segments, those with most set bits first."""
+def _segment_keys(shingle_hashes: np.ndarray, rare: np.ndarray, band: int, count: int, take: int) -> np.ndarray:
+    """Keys of the first ``take`` of ``count`` segments, those with most set bits of ``rare`` shingles first."""
     segment = ((shingle_hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
     starts = np.concatenate(([0], np.flatnonzero(segment[1:] != segment[:-1]) + 1))
     bits = np.diff(starts, append=len(segment)).astype(np.uint64)
+    strength = np.minimum(np.add.reduceat(rare, starts), np.uint64(15)) * np.uint64(16) + np.minimum(bits, np.uint64(15))
     # The number of the segment and the low half of a hash name the bit; shingles that flip the same bit cancel out.
     parity = np.bitwise_xor.reduceat(mix(shingle_hashes & np.uint64(0xFFFFFFFF)), starts)
     number = segment[starts]
     if len(number) < take:
         empty = np.setdiff1d(np.arange(count, dtype=np.uint64), number)
         number = np.concatenate((number, empty))
-        parity, bits = (np.concatenate((x, np.zeros(len(empty), np.uint64))) for x in (parity, bits))
+        parity, strength = (np.concatenate((x, np.zeros(len(empty), np.uint64))) for x in (parity, strength))
     keys = mix(parity ^ mix(number + np.uint64(band << 32) + np.uint64(1))) >> np.uint64(8)
-    keys |= (np.uint64(255) - np.minimum(bits, np.uint64(255))) << np.uint64(56)
+    keys |= (np.uint64(255) - strength) << np.uint64(56)
     return np.sort(keys)[:take]
 
 
-def segment_keys(shingle_hashes: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
+def segment_keys(
+    shingle_hashes: np.ndarray, similarity: tuple[int, int] = SIMILARITY, common: np.ndarray = np.zeros(0, np.uint64)
+) -> np.ndarray:
     """Keys under which a set is found: of its own band, and of every higher one that may hold partners.
 
-    A set that differs from every partner in less than one shingle has only copies, and no keys.
+    ``common`` shingles, in order, make no segment come first. A set that differs from every partner in less
+    than one shingle has only copies, and no keys.
     """
     low, high = similarity
     size = len(shingle_hashes)
     if not size:
         return np.zeros(0, np.uint64)
+    rare = np.ones(size, np.uint64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingle_hashes), len(common) - 1)
+        rare[common[at] == shingle_hashes] = 0
     band, largest = size.bit_length() - 1, size * high // low
     out = [np.zeros(0, np.uint64)]
     while 1 << band <= largest:
         differ = (size + min(largest, (2 << band) - 1)) * (high - low) // (high + low)
         if differ:
-            out.append(_segment_keys(shingle_hashes, band, _segments(band, similarity), differ + 1))
+            out.append(_segment_keys(shingle_hashes, rare, band, _segments(band, similarity), differ + 1))
         band += 1
     return np.concatenate(out)
 
 
+def _counted(parts: list[tuple[np.ndarray, np.ndarray]], most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes and summed counts; beyond ``most`` of them, less the largest count that no longer fits."""
+    hashes, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = np.bincount(place, weights=np.concatenate([p[1] for p in parts]), minlength=len(hashes)).astype(np.int64)
+    if len(hashes) <= most:
+        return hashes, counts, 0
+    off = int(np.partition(counts, len(counts) - most - 1)[len(counts) - most - 1])
+    keep = counts > off
+    return hashes[keep], counts[keep] - off, off
+
+
+def _summaries(shingle: int) -> Callable:
+    """Counts of the documents of a task that have a shingle, cut to ``COUNTED`` shingles again and again.
+
+    A row without a shingle holds what the cuts took off, which bounds the error of every count.
+    """
+
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, gathered, slack = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0, 0
+        for batch in stream:
+            for text in values(batch.column(0)):
+                found = shingles(text, shingle)
+                parts.append((found, np.ones(len(found), np.int64)))
+                gathered += len(found)
+                if gathered > GATHERED:
+                    hashes, counts, off = _counted(parts, COUNTED)
+                    parts, gathered, slack = [(hashes, counts)], 0, slack + off
+        hashes, counts, off = _counted(parts, COUNTED)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*signed(hashes).tolist(), None], pa.int64()), pa.array([*counts.tolist(), slack + off], pa.int64())],
+            names=["shingle", "n"],
+        )
+
+    return run
+
+
+def common_shingles(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles that surely stand in more documents than one in ``COUNTED`` of all shingles is.
+
+    These are ``COUNTED`` at most, whatever the corpus; counts of tasks are summed by Spark.
+    """
+    counted = written(texts.select("text").mapInArrow(_summaries(shingle), "shingle bigint, n bigint"), "shingle-counts")
+    slack = counted.where("shingle IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    summed = counted.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = summed.where(F.col("n") > max(slack, 1)).orderBy(F.desc("n"), "shingle").limit(COUNTED).toArrow()
+    return np.sort(found["shingle"].to_numpy().astype(np.int64).view(np.uint64))
+
+
 def _digest(shingle_hashes: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingle_hashes.tobytes(), digest_size=16).digest() if len(shingle_hashes) else None
 
 
-def _sketches(shingle: int, similarity: tuple[int, int]) -> Callable:
+def _sketches(shingle: int, similarity: tuple[int, int], common: np.ndarray) -> Callable:
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in stream:
@@ -110,7 +179,7 @@ def _sketches(shingle: int, similarity: tuple[int, int]) -> Callable:
                     seen.add(digest)
                 digests.append(digest)
                 sizes.append(len(found))
-                keys.append(segment_keys(found, similarity) if new else np.zeros(0, np.uint64))
+                keys.append(segment_keys(found, similarity, common) if new else np.zeros(0, np.uint64))
             if len(seen) > REMEMBERED:
                 seen.clear()
             offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
@@ -148,11 +217,23 @@ def _met(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches(schema, held)
 
 
+def _parity(shingle_hashes: np.ndarray) -> np.ndarray:
+    """A sketch of ``PARITY`` bits, as bigints: the bits in which two differ are no more than the shingles."""
+    bits = np.bincount((mix(shingle_hashes) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _sets(shingle: int) -> Callable:
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            found = [shingles(t, shingle).tobytes() for t in values(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
+            found = [shingles(t, shingle) for t in values(batch.column(1))]
+            parities = pa.FixedSizeListArray.from_arrays(
+                pa.array(np.concatenate([_parity(f) for f in found]) if found else [], pa.int64()), PARITY // 64
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()), parities.cast(pa.list_(pa.int64()))],
+                names=["node", "shingles", "parity"],
+            )
 
     return run
 
@@ -181,22 +262,52 @@ def _text_keys(text: str) -> list:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
+def _may_link(a: str, b: str, similarity: tuple[int, int]) -> Column:
+    """Whether sizes and parities of two members allow a link; wrong only for some that have none."""
+    low, high = similarity
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.p{k}").bitwiseXOR(F.col(f"{b}.p{k}"))) for k in range(PARITY // 64)])
+    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (differ * (high + low) <= (n_a + n_b) * (high - low)) & (F.least(n_a, n_b) * high >= F.greatest(n_a, n_b) * low)
+
+
+def _tries(parts: DataFrame, number: int, similarity: tuple[int, int]) -> DataFrame:
+    """For each member whose segments hold other components, one member that it may link with: that of most shared segments.
+
+    Every segment offers its first and its last member in an order of its own for each round.
+    """
+    order = F.struct(F.xxhash64("node", "key", F.lit(number)).alias("h"), "part", "node", "m")
+    ends = parts.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.min(order).alias("one"), F.max(order).alias("two")
+    ).where("low < high")
+    met = parts.join(ends.select("key", "one", "two"), "key")
+    other = [F.when((F.col(f"{e}.part") != F.col("part")) & _may_link("m", f"{e}.m", similarity), F.col(f"{e}.node")) for e in ("one", "two")]
+    met = met.select("node", F.explode(F.array(*other)).alias("other")).where("other IS NOT NULL")
+    best = met.groupBy("node", "other").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "other")).alias("best"))
+    return best.select(F.greatest("node", "best.other").alias("high"), F.least("node", "best.other").alias("low")).distinct()
+
+
 def _links(held: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Links that connect all that is connected, of the members ``node`` (of ``n`` shingles) met under ``key``."""
-    heads = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("last")).where("low < last")
-    near = held.join(heads.select("key", "low"), "key").where("node > low")
-    tried = written(near.groupBy(F.col("node").alias("high")).agg(F.min("low").alias("low")), "tried")
-    links = _verified(tried, sets, similarity)
-
-    root = components(links).withColumnRenamed("root", "part")
-    parts = written(held.join(root, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
-    split = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("last")).where("low < last")
-    apart = parts.join(split.select("key"), "key", "left_semi")
-    sizes = f"least(a.n, b.n) * {similarity[1]} >= greatest(a.n, b.n) * {similarity[0]}"
-    pairs = apart.alias("a").join(apart.alias("b"), F.expr(f"a.key = b.key AND a.part < b.part AND {sizes}"))
-    pairs = pairs.select(F.expr("greatest(a.node, b.node) AS high"), F.expr("least(a.node, b.node) AS low")).distinct()
-    pairs = pairs.join(tried, ["high", "low"], "left_anti")
-    return links.union(_verified(pairs, sets, similarity))
+    """Links that connect all that is connected, of the members ``node`` met under ``key``, with sizes and parities ``m``.
+
+    Components grow by rounds of one pair a member, as long as a round finds a link for one member in
+    ``YIELD``. Then all pairs of different components that the parities allow are opened and verified.
+    """
+    members, parts, links, tried = sets.count(), held.withColumn("part", F.col("node")), None, None
+    for number in itertools.count():
+        pairs = written(_tries(parts, number, similarity), "tries")
+        found = _verified(pairs, sets, similarity)
+        tried = pairs if tried is None else tried.union(pairs)
+        links = found if links is None else links.union(found)
+        root = written(components(links).withColumnRenamed("root", "part"), "roots")
+        parts = held.join(root, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        if found.count() * YIELD <= members:
+            break
+    split = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    apart = written(parts.join(split.select("key"), "key", "left_semi"), "apart")
+    one, two = (apart.select("key", F.struct("node", "part", "m").alias(name)) for name in ("one", "two"))
+    pairs = one.join(two, "key").where((F.col("one.part") < F.col("two.part")) & _may_link("one.m", "two.m", similarity))
+    pairs = pairs.select(F.greatest("one.node", "two.node").alias("high"), F.least("one.node", "two.node").alias("low")).distinct()
+    return links.union(_verified(pairs.join(tried, ["high", "low"], "left_anti"), sets, similarity))
 
 
 def jaccard_components(
@@ -214,7 +325,7 @@ def jaccard_components(
     kind = documents.schema[id_col].dataType.simpleString()
     texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketched = texts.select("doc_id", "text", *_text_keys("text")).mapInArrow(
-        _sketches(shingle, similarity),
+        _sketches(shingle, similarity, common_shingles(texts, shingle)),
         f"doc_id {kind}, digest binary, n bigint, keys array<bigint>, k1 bigint, k2 bigint",
     )
     prints = written(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
@@ -225,14 +336,19 @@ def jaccard_components(
     ordered = index.repartitionByRange("key", "row").sortWithinPartitions("key", "row")
     met = written(ordered.mapInArrow(_met, "key bigint, row bigint"), "met")
     # Copies that were cut in different tasks give way to the one that stands for their set.
-    rows = prints.select("row", "digest", "n").join(met.select("row").distinct(), "row")
-    rows = rows.join(members.select("digest", "node"), "digest").select("row", "node", "n")
-    held = written(met.join(rows, "row").select("key", "node", "n").distinct(), "held")
+    rows = prints.select("row", "digest").join(met.select("row").distinct(), "row")
+    rows = rows.join(members.select("digest", "node"), "digest").select("row", "node")
+    held = met.join(rows, "row").select("key", "node").distinct()
+    shared = held.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    held = written(held.join(shared, "key", "left_semi"), "held")
 
     live = prints.select(F.col("row").alias("node"), "k1", "k2").join(held.select("node").distinct(), "node")
     once = texts.select("text", *_text_keys("text")).dropDuplicates(["k1", "k2"])
-    sets = once.join(live, ["k1", "k2"]).select("node", "text").mapInArrow(_sets(shingle), "node bigint, shingles binary")
-    links = _links(held, written(sets, "shingles"), similarity)
+    sets = once.join(live, ["k1", "k2"]).select("node", "text")
+    sets = written(sets.mapInArrow(_sets(shingle), "node bigint, shingles binary, parity array<bigint>"), "shingles")
+    bits = [F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)]
+    sized = sets.select("node", F.struct(F.expr("length(shingles) DIV 8").alias("n"), *bits).alias("m"))
+    links = _links(written(held.join(sized, "node"), "members"), sets, similarity)
 
     roots = components(links).select("node", "root")
     named = written(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
