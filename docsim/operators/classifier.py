@@ -5,17 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vector, Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from docsim.functions.rounding import round_even
 from docsim.functions.text import is_blank
 from docsim.operators import features as X
+from docsim.operators import term_weights as W
 from docsim.operators.evaluation import confusion_counts, rounded_class, with_class_metrics
 from docsim.operators.pairs import evaluable, with_prepared, with_set_measures
 from docsim.operators.splitting import stratified_split
-from docsim.session import written
+from docsim.session import new_path, written
 
 # Names, texts and limits.
 MODEL_NAME = "TF-IDF + Logistic Regression con características de comparación"
@@ -42,12 +44,19 @@ def training_pairs(pairs: DataFrame) -> DataFrame:
     return evaluable(with_prepared(pairs)).drop("text_a", "text_b")
 
 
-def _sparse(width: int):
-    @F.udf(VectorUDT())
-    def vector(indices: list[int], values: list[float]) -> Vector:
-        return Vectors.sparse(width, indices, values)
+def with_vectors(rows: DataFrame, width: int) -> DataFrame:
+    """``label``, ``weight`` and the sparse rows as vectors of Spark ML, written once.
 
-    return vector(F.col("indices"), F.col("values"))
+    A vector is stored as a struct of plain columns, so a table written with these is read as vectors and no
+    Python worker builds them.
+    """
+    spark, path = rows.sparkSession, new_path(rows.sparkSession, "vectors")
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"), F.col("indices"), F.col("values")
+    )
+    rows.select("label", "weight", sparse.alias("features")).write.parquet(path)
+    schema = StructType([StructField("label", DoubleType()), StructField("weight", DoubleType()), StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def fit_classifier(
@@ -68,15 +77,11 @@ def fit_classifier(
     weight = F.lit(None).cast("double")
     for label, count in totals.items():
         weight = F.when(F.col("label") == label, F.lit(n / (2.0 * count))).otherwise(weight)
-    weighted = rows.select(
-        F.col("label").cast("double").alias("label"),
-        weight.alias("weight"),
-        _sparse(2 * size + len(X.NUMERIC_FEATURES)).alias("features"),
-    )
+    weighted = rows.select(F.col("label").cast("double").alias("label"), weight.alias("weight"), "indices", "values")
     solver = LogisticRegression(
         maxIter=MAX_ITERATIONS, regParam=1.0 / n, weightCol="weight", standardization=True
     )
-    fitted = solver.fit(weighted)
+    fitted = solver.fit(with_vectors(weighted, 2 * size + len(X.NUMERIC_FEATURES)))
     coefs = fitted.coefficients.toArray()
     # the coefficients are as many as the fixed vocabulary size allows
     table = spark.createDataFrame(
@@ -95,29 +100,14 @@ def fit_classifier(
     )
 
 
-def decision_values(prepared: DataFrame, model: PairModel, id_col: str = "pair_id") -> DataFrame:
+def decision_values(prepared: DataFrame, model: PairModel) -> DataFrame:
     """The pairs with ``decision``: intercept plus coefficients times features.
 
-    No vector is built: terms meet their coefficients through the broadcast vocabulary.
+    Nothing leaves the row: its terms meet their coefficients in the vocabulary that goes with the function.
     """
-    terms = (
-        X.pair_term_features(prepared, model.vocabulary, id_col)
-        .groupBy(id_col)
-        .agg(
-            F.sum(
-                F.col("difference") * F.col("difference_coef")
-                + F.col("product") * F.col("product_coef")
-            ).alias("term_sum"),
-            F.sum("product").alias("cosine"),
-        )
-    )
-    measured = with_set_measures(prepared).join(terms, id_col, "left").withColumns(
-        {
-            "term_sum": F.coalesce("term_sum", F.lit(0.0)),
-            "cosine": F.coalesce("cosine", F.lit(0.0)),
-        }
-    )
-    decision = F.lit(model.intercept) + F.col("term_sum")
+    sums = W.linear_sums(W.TermTable.of(model.vocabulary), "processed_a", "processed_b")
+    measured = with_set_measures(prepared.select("*", sums.alias("sums"))).withColumn("cosine", F.col("sums.cosine"))
+    decision = F.lit(model.intercept) + F.col("sums.term_sum")
     for feature in X.NUMERIC_FEATURES:
         decision = decision + F.col(feature) * F.lit(model.numeric_coefs[feature])
     return measured.select(*prepared.columns, decision.alias("decision"))
@@ -141,9 +131,8 @@ def prediction_columns(decision: Column, name: str) -> list[Column]:
 def predict_pairs(pairs: DataFrame, model: PairModel, id_col: str = "pair_id") -> DataFrame:
     """Predictions for raw text pairs; pairs with a blank side are left out."""
     given = pairs.where(~is_blank(F.col("text_a")) & ~is_blank(F.col("text_b")))
-    # written, because both branches of the join below read it
-    prepared = written(with_prepared(given).select(id_col, "processed_a", "processed_b"), "prepared")
-    return decision_values(prepared, model, id_col).select(
+    prepared = with_prepared(given).select(id_col, "processed_a", "processed_b")
+    return decision_values(prepared, model).select(
         id_col,
         *prediction_columns(F.col("decision"), model.name),
         F.col("processed_a").alias("processed_text_a"),
@@ -191,11 +180,8 @@ def train_model(
     train = split.where(~F.col("is_test")).drop("is_test")
     test = split.where("is_test").drop("is_test")
     vocabulary = X.written_vocabulary(X.pair_texts(train), "processed", size)
-    rows = written(
-        X.feature_rows(train, vocabulary, size, id_col).select("label", "indices", "values"), "features"
-    )
-    model = fit_classifier(rows, vocabulary, size)
+    model = fit_classifier(X.feature_rows(train, vocabulary, size), vocabulary, size)
     metrics = test_metrics(
-        decision_values(test, model, id_col), train.count(), test.count(), dataset_name, model.name
+        decision_values(test, model), train.count(), test.count(), dataset_name, model.name
     )
     return model, metrics

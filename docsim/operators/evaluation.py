@@ -21,6 +21,8 @@ from docsim.operators.pairs import (
 DEFAULT_THRESHOLD = 0.45
 SWEEP_START, SWEEP_END, SWEEP_STEP = 0.10, 0.60, 0.01
 EXAMPLE_ROWS = 10
+# Rows that are looked at first for the examples.
+WINDOW_ROWS = 40
 TOP_THRESHOLDS = 10
 CLASS_NAMES = ("No plagio", "Plagio")
 DONE = "Evaluación completada correctamente"
@@ -169,8 +171,19 @@ def evaluate_threshold(
 def evaluation_examples(
     pairs: DataFrame, threshold: float = DEFAULT_THRESHOLD, index_col: str = "row_idx"
 ) -> DataFrame:
-    """The first ten evaluated rows, in row order, with prediction and status."""
-    first = evaluable(with_prepared(pairs)).orderBy(index_col).limit(EXAMPLE_ROWS)
+    """The first ten evaluated rows, in row order, with prediction and status.
+
+    Rows are prepared window by window, each four times as long as the last, until ten are usable; the filter
+    on the index reaches the scan.
+    """
+    last = pairs.agg(F.max(index_col)).first()[0]
+    limit = WINDOW_ROWS
+    while True:
+        usable = evaluable(with_prepared(head_rows(pairs, limit, index_col)))
+        if last is None or limit > last or usable.limit(EXAMPLE_ROWS).count() == EXAMPLE_ROWS:
+            break
+        limit *= 4
+    first = usable.orderBy(index_col).limit(EXAMPLE_ROWS)
     return with_scores(first).select(
         (F.col(index_col) + 1).cast("bigint").alias("row"),
         "text_a",

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from docsim.functions import similarity as S
 from docsim.functions import text as T
+from docsim.operators import term_weights as W
 from docsim.operators.frequent_terms import CAPACITY, frequent_terms
 from docsim.operators.pairs import with_set_measures
 from docsim.session import written
@@ -92,93 +93,37 @@ def pair_texts(prepared: DataFrame) -> DataFrame:
 
 def tfidf_weights(docs: DataFrame, vocabulary: DataFrame, id_col: str, prepared_col: str) -> DataFrame:
     """``id_col, idx, term, weight``: L2-normalised TF-IDF; unknown terms are dropped."""
-    known = _terms(docs, [id_col], S.term_bag(grams(F.col(prepared_col)))).join(
-        F.broadcast(vocabulary.select("term", "idx", "idf")), "term"
-    )
-    weight = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(weight * weight).over(Window.partitionBy(id_col)))
-    return known.select(id_col, "idx", "term", (weight / norm).alias("weight"))
+    weights = W.text_weights(W.TermTable.of(vocabulary), prepared_col)
+    return docs.select(id_col, F.inline_outer(weights)).where("idx IS NOT NULL")
 
 
 def pair_term_features(
     prepared: DataFrame, vocabulary: DataFrame, id_col: str = "pair_id"
 ) -> DataFrame:
-    """Per pair and term: ``difference`` |a - b| and ``product`` a * b of the weights.
-
-    Further columns of ``vocabulary`` pass through. The vocabulary has a fixed size, so it is
-    broadcast; the one shuffle, by pair, serves both aggregations.
-    """
-    def side(name: str, on_a: bool) -> Column:
-        return F.transform(
-            S.term_bag(grams(F.col(name))),
-            lambda x: F.struct(
-                x["term"].alias("term"), x["tf"].alias("tf"), F.lit(on_a).alias("on_a")
-            ),
-        )
-
-    exploded = _terms(
-        prepared, [id_col], F.concat(side("processed_a", True), side("processed_b", False))
-    )
-    extra = [c for c in vocabulary.columns if c not in ("term", "idx", "idf", "total", "df")]
-    known = exploded.join(
-        F.broadcast(vocabulary.select("term", "idx", "idf", *extra)), "term"
-    ).select(id_col, "idx", "on_a", (F.col("tf") * F.col("idf")).alias("w"), *extra)
-    per_term = (
-        known.repartition(id_col)
-        .groupBy(id_col, "idx")
-        .agg(
-            F.coalesce(F.max(F.when(F.col("on_a"), F.col("w"))), F.lit(0.0)).alias("a"),
-            F.coalesce(F.max(F.when(~F.col("on_a"), F.col("w"))), F.lit(0.0)).alias("b"),
-            *[F.max(c).alias(c) for c in extra],
-        )
-    )
-    of_pair = Window.partitionBy(id_col)
-
-    def unit(side_name: str) -> Column:
-        norm = F.sqrt(F.sum(F.col(side_name) * F.col(side_name)).over(of_pair))
-        return F.when(norm > 0, F.col(side_name) / norm).otherwise(F.lit(0.0))
-
-    normed = per_term.select(id_col, "idx", unit("a").alias("a"), unit("b").alias("b"), *extra)
-    return normed.select(
-        id_col,
-        "idx",
-        F.abs(F.col("a") - F.col("b")).alias("difference"),
-        (F.col("a") * F.col("b")).alias("product"),
-        *extra,
-    )
+    """Per pair and known term: ``difference`` |a - b| and ``product`` a * b of the weights."""
+    weights = W.pair_weights(W.TermTable.of(vocabulary), "processed_a", "processed_b")
+    return prepared.select(id_col, F.inline_outer(weights)).where("idx IS NOT NULL")
 
 
 def feature_rows(
     prepared: DataFrame,
     vocabulary: DataFrame,
     size: int = VOCABULARY_SIZE,
-    id_col: str = "pair_id",
 ) -> DataFrame:
     """The pairs with their features as a sparse row, ``indices`` and ``values``.
 
-    The feature space is 2 * size + 4 wide: differences, products, then the four numbers.
+    The feature space is 2 * size + 4 wide: differences, products, then the four numbers. Everything is
+    computed in the row.
     """
-    terms = (
-        pair_term_features(prepared, vocabulary, id_col)
-        .groupBy(id_col)
-        .agg(
-            F.sort_array(F.collect_list(F.struct("idx", "difference", "product"))).alias("terms"),
-            F.sum("product").alias("cosine"),
-        )
-    )
-    measured = with_set_measures(prepared).join(terms, id_col, "left").withColumns(
-        {
-            "terms": F.coalesce(
-                "terms", F.array().cast("array<struct<idx:int,difference:double,product:double>>")
-            ),
-            "cosine": F.coalesce("cosine", F.lit(0.0)),
-        }
+    weights = W.pair_weights(W.TermTable.of(vocabulary), "processed_a", "processed_b")
+    weighed = prepared.select("*", weights.alias("terms")).withColumn(
+        "cosine", F.aggregate("terms.product", F.lit(0.0), lambda total, x: total + x)
     )
     shared = F.filter("terms", lambda x: x["product"] != 0)
     different = F.filter("terms", lambda x: x["difference"] != 0)
     numbers = F.array(*[F.col(name) for name in NUMERIC_FEATURES])
     places = F.array(*[F.lit(2 * size + k) for k in range(len(NUMERIC_FEATURES))])
-    return measured.select(
+    return with_set_measures(weighed).select(
         *prepared.columns,
         *NUMERIC_FEATURES,
         F.concat(

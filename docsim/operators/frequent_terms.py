@@ -24,19 +24,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.functions.overlap import prepared_words
+from docsim.operators.term_weights import chunks, gram_rows
 from docsim.session import written
 
 # Terms that a task's summary is cut down to.
 CAPACITY = 1 << 20
 # Most tasks that write a summary; partitions are joined without a shuffle to get there.
 SUMMARY_TASKS = 4096
-# Characters of text that are opened into terms at once.
-CHUNK_CHARS = 4_000_000
 # Most candidates that are sent to every task of the second pass.
 BROADCAST_TERMS = 500_000
 
@@ -45,11 +42,7 @@ SCHEMA = "term string, total bigint, df bigint, slack bigint"
 
 def text_terms(texts: pa.Array) -> pa.Table:
     """``term, total, df``: words and neighbouring words of prepared texts, and the texts that have them."""
-    rows, words = prepared_words(texts)
-    inside = pa.array(rows[1:] == rows[:-1])
-    pairs = pc.binary_join_element_wise(words.slice(0, max(len(words) - 1, 0)), words.slice(1), pa.scalar(" ", words.type))
-    terms = pa.concat_arrays([words, pairs.filter(inside)])
-    rows = np.concatenate((rows, rows[1:][rows[1:] == rows[:-1]]))
+    rows, terms = gram_rows(texts)
     of_text = pa.table({"row": rows, "term": terms}).group_by(["row", "term"]).aggregate([([], "count_all")])
     counted = of_text.group_by("term").aggregate([("count_all", "sum"), ([], "count_all")])
     return counted.rename_columns(["term", "total", "df"])
@@ -66,14 +59,6 @@ def cut_counts(counts: pa.Table, capacity: int) -> tuple[pa.Table, int]:
     return kept.set_column(kept.column_names.index("total"), "total", lower), off
 
 
-def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths.astype(np.int64)) // CHUNK_CHARS
-    starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    for start, end in zip(starts, [*starts[1:], len(texts)]):
-        yield texts.slice(start, end - start)
-
-
 def _summaries(capacity: int) -> Callable:
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = pa.table({"term": pa.array([], pa.large_string()), "total": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
@@ -84,9 +69,7 @@ def _summaries(capacity: int) -> Callable:
             return summed.rename_columns(["term", "total", "df"])
 
         for batch in stream:
-            if not len(batch.column(0)):
-                continue
-            for texts in _chunks(batch.column(0)):
+            for (texts,) in chunks(batch.column(0)):
                 waiting.append(text_terms(texts))
                 rows += len(waiting[-1])
                 if rows > 2 * capacity:

@@ -17,20 +17,17 @@ from docsim.functions.overlap import overlap_sums
 MIN_PAIR_WORDS = 2
 
 
-def with_prepared(pairs: DataFrame, keep_tokens: bool = False) -> DataFrame:
-    """Add ``processed_a``/``processed_b`` (and the token arrays when asked for)."""
-    tokens = pairs.withColumns(
-        {
-            "tokens_a": T.content_tokens(F.col("text_a")),
-            "tokens_b": T.content_tokens(F.col("text_b")),
-        }
-    ).withColumns(
-        {
-            "processed_a": F.array_join("tokens_a", " "),
-            "processed_b": F.array_join("tokens_b", " "),
-        }
+def with_prepared(pairs: DataFrame) -> DataFrame:
+    """Add ``processed_a``/``processed_b``.
+
+    They come out of a generator, which Spark does not copy into the filters that read them: each text is
+    prepared once.
+    """
+    prepared = F.struct(
+        T.prepare_text(F.col("text_a")).alias("processed_a"), T.prepare_text(F.col("text_b")).alias("processed_b")
     )
-    return tokens if keep_tokens else tokens.drop("tokens_a", "tokens_b")
+    kept = [c for c in pairs.columns if c not in ("processed_a", "processed_b")]
+    return pairs.select(*kept, F.inline_outer(F.array(prepared)))
 
 
 def both_long_enough() -> Column:

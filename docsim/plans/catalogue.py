@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from docsim.functions import similarity as S
 from docsim.functions import text as T
 from docsim.functions.rows import head_rows
-from docsim.operators import all_pairs, classifier, evaluation, features, pair_rows, pairs
+from docsim.operators import all_pairs, classifier, evaluation, features, near_classes, pair_rows, pairs
 from docsim.operators.dataset_pairs import compare_dataset_pairs
 from docsim.operators.splitting import stratified_split
 from docsim.plans import inputs
 from docsim.session import new_path, written
 from docsim.sources import corpus as C
 from docsim.sources import ingest, model_store
-from docsim.streaming.ingest import stream_into_corpus
+from docsim.streaming.ingest import rejected, rows_read, stream_into_corpus
 
 WINDOW_SEED = 7
 WINDOW_LAST_START = 150
@@ -26,6 +26,7 @@ HEAD_ROWS = 50
 LOOKUP_ID = 42
 LIMITED_ROWS = 120
 LOW_SCORE = 0.02
+LEAST_QUALITY = 0.9
 # coefficients of the checked model, by formula
 INTERCEPT = 0.1
 NUMERIC_COEFS = {"cosine": 1.5, "jaccard": -0.5, "containment": 0.75, "length_ratio": -0.25}
@@ -126,6 +127,17 @@ def comparison_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary.select(*[F.col(name).cast("string").alias(name) for name in summary.columns])
 
 
+def near_copy_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Class and numbers of matching documents of every document with content."""
+    return near_classes.near_copies(inputs.uploaded_corpus(spark, sf))[0]
+
+
+def near_copy_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes of two documents or more, with their pairs by band."""
+    classes = near_classes.near_copies(inputs.uploaded_corpus(spark, sf))[1]
+    return classes.withColumns({c: F.col(c).cast("string") for c in ("plagiarism_pairs", "suspicious_pairs")})
+
+
 def dataset_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return compare_dataset_pairs(inputs.corpus(spark, sf))
 
@@ -281,6 +293,20 @@ def stream_ingest_documents(spark: SparkSession, sf: str) -> DataFrame:
     return stored.read().drop("uploaded_at")
 
 
+def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a stream with repeated ids, by what became of them."""
+    folder = new_path(spark, "stream")
+    inputs.repeated_uploads(spark, sf).write.parquet(f"{folder}/uploads")
+    schema = spark.read.parquet(f"{folder}/uploads").schema
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/uploads")
+    stored = C.CorpusTable(spark, f"{folder}/corpus")
+    stream_into_corpus(stream, stored, f"{folder}/progress", f"{folder}/rejects").awaitTermination()
+    rejects = rejected(spark, f"{folder}/rejects").groupBy("reason").agg(F.sum("rows").alias("rows"))
+    read = rows_read(spark, f"{folder}/rejects").agg(F.sum("rows").alias("rows")).select(F.lit("read").alias("reason"), "rows")
+    accepted = stored.read().agg(F.count("*").alias("rows")).select(F.lit("accepted").alias("reason"), "rows")
+    return rejects.unionByName(read).unionByName(accepted)
+
+
 def corpus_newest_first(spark: SparkSession, sf: str) -> DataFrame:
     listed = C.display_rows(C.newest_first(inputs.corpus(spark, sf)))
     return listed.withColumn("raw_length", F.length("raw_text")).drop("raw_text")
@@ -291,7 +317,10 @@ def corpus_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return C.display_rows(C.document_by_id(inputs.corpus(spark, sf), LOOKUP_ID))
+    """One document of a stored corpus."""
+    stored = C.CorpusTable(spark, new_path(spark, "corpus"))
+    stored.save(inputs.corpus(spark, sf))
+    return C.display_rows(stored.get(LOOKUP_ID))
 
 
 def _unwanted(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,6 +372,18 @@ def dataset_window(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("row_idx", "pair_id", "label")
 
 
+def documents_head(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of a Parquet table, by the files that hold them."""
+    return ingest.read_window(spark, f"{sf.rstrip('/')}/documents.parquet", 0, HEAD_ROWS).select("doc_id", "row_idx")
+
+
+def documents_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A random window of a Parquet table, by the files that hold it."""
+    start = ingest.window_start(WINDOW_SEED, WINDOW_LAST_START)
+    rows = ingest.read_window(spark, f"{sf.rstrip('/')}/documents.parquet", start, WINDOW_ROWS)
+    return rows.select("doc_id", "row_idx")
+
+
 def row_index(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf.rstrip('/')}/documents.parquet"
     return ingest.with_row_index(spark.read.parquet(path)).select("doc_id", "row_idx")
@@ -365,16 +406,30 @@ def stratified_split_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Train, save the metrics and read them: what does not depend on fitted numbers."""
+    """Train, save the metrics and read them: sizes, whether the metrics follow from the counts, and bounds.
+
+    Fitted numbers differ with the solver, so SQL states what must hold for them: both classes are told apart
+    far better than by chance, and the share of right answers follows from the confusion matrix.
+    """
     _, metrics = classifier.train_model(inputs.labelled_pairs(spark, sf), "labelled_pairs")
     path = new_path(spark, "metrics")
     model_store.save_metrics(metrics, path)
-    cells = sum(F.col(f"confusion_matrix.{c}") for c in ("true_negative", "false_positive", "false_negative", "true_positive"))
+    tn, fp, fn, tp = (
+        F.col(f"confusion_matrix.{c}") for c in ("true_negative", "false_positive", "false_negative", "true_positive")
+    )
+    cells = tn + fp + fn + tp
+    f1 = [F.col(f"classes.{c}.f1_score") for c in ("no_plagio", "plagio")]
+    follow = [
+        F.abs(F.col("accuracy") - (tn + tp) / cells), F.abs(f1[0] - 2 * tn / (2 * tn + fp + fn)),
+        F.abs(f1[1] - 2 * tp / (2 * tp + fp + fn)),
+    ]
     return model_store.load_metrics(spark, path).select(
         "dataset_name", "total_examples", "train_examples", "test_examples", "model",
         F.col("classes.no_plagio.support").alias("no_plagio_support"),
         F.col("classes.plagio.support").alias("plagio_support"),
         cells.alias("tested"),
+        (F.greatest(*follow) <= 5.1e-5).alias("metrics_follow_counts"),
+        (F.least(F.col("accuracy"), *f1) >= LEAST_QUALITY).alias("classes_told_apart"),
     )
 
 
@@ -407,6 +462,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corpus_newest_first, corpus_counts, corpus_lookup, corpus_delete, deletion_report,
         corpus_clear_dataset, corpus_table, dataset_head, dataset_window, row_index, demo_flow,
         stratified_split_pairs, train_metrics, predict_pairs, pairs_by_score, partners,
-        pair_number_features, evaluate_threshold_head, sweep_thresholds_head,
+        pair_number_features, evaluate_threshold_head, sweep_thresholds_head, near_copy_members,
+        near_copy_classes, stream_rejects, documents_head, documents_window,
     )
 }

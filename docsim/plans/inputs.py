@@ -102,6 +102,15 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uploads, some of them again under a name that is accepted, some under one that is not, some without id."""
+    once = uploads(spark, sf_dir)
+    again = F.concat(F.lit("again "), F.col("id"), F.lit(".pdf"))
+    nameless = once.where("id % 9 = 0").withColumn("filename", F.lit("x.txt"))
+    without_id = once.where("id % 11 = 0").withColumn("id", F.lit(None).cast("bigint"))
+    return once.unionByName(once.where("id % 7 IN (0, 4)").withColumn("filename", again)).unionByName(nameless).unionByName(without_id)
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uploads (all documents) plus two dataset documents per labelled pair.
 

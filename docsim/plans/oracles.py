@@ -354,6 +354,15 @@ found AS (SELECT x, y, least(1e0, dot / (sqrt(a2 + {K2} * (p.total - a2)) * sqrt
   FROM met JOIN tot p ON p.id = x JOIN tot q ON q.id = y)
 SELECT x AS doc_id, y AS partner_id, round(score, 6) AS raw_score FROM found WHERE score >= 0.4e0"""
 
+# classes over all pairs of texts, by following links
+NEAR_COPIES = f"""WITH RECURSIVE {TEXT_PAIRS},
+links AS (SELECT x, y, score >= 0.7e0 AS plagiarism FROM textpairs WHERE score >= 0.4e0),
+ways AS (SELECT x AS a, y AS b, plagiarism FROM links UNION ALL SELECT y, x, plagiarism FROM links),
+reached AS (SELECT text_id AS a, text_id AS b FROM texts UNION SELECT reached.a, ways.b FROM reached JOIN ways ON reached.b = ways.a AND plagiarism),
+classed AS (SELECT a AS text_id, min(b) AS class_id FROM reached GROUP BY a),
+matched AS (SELECT a AS text_id, coalesce(sum(copies) FILTER (plagiarism), 0) AS np, coalesce(sum(copies) FILTER (NOT plagiarism), 0) AS ns
+  FROM ways JOIN texts ON b = text_id GROUP BY a)"""
+
 
 def _oracles() -> dict[str, str]:
     start = window_start(WINDOW_SEED, WINDOW_LAST_START)
@@ -389,6 +398,32 @@ def _oracles() -> dict[str, str]:
     return {
         "pairs_by_score": f"WITH {TEXT_PAIRS} SELECT floor(round(score, 9) * 100)::INT AS percent, count(*) AS pairs FROM textpairs WHERE score >= 0.02e0 GROUP BY 1",
         "partners": PARTNERS,
+        "near_copy_members": f"""{NEAR_COPIES}
+            SELECT m.id AS doc_id, class_id, t.text_id, copies, CAST(coalesce(np, 0) + copies - 1 AS BIGINT) AS n_plagiarism,
+              CAST(coalesce(ns, 0) AS BIGINT) AS n_suspicious
+            FROM members m JOIN texts t ON t.text_id = m.text_id JOIN classed c ON c.text_id = t.text_id LEFT JOIN matched w ON w.text_id = t.text_id""",
+        "near_copy_classes": f"""{NEAR_COPIES},
+            inner_links AS (SELECT p.class_id, plagiarism, t.copies * u.copies AS pairs FROM links
+              JOIN classed p ON p.text_id = x JOIN classed q ON q.text_id = y AND q.class_id = p.class_id JOIN texts t ON t.text_id = x JOIN texts u ON u.text_id = y),
+            banded AS (SELECT class_id, sum(pairs) FILTER (plagiarism) AS pp, sum(pairs) FILTER (NOT plagiarism) AS sp FROM inner_links GROUP BY 1),
+            sized AS (SELECT class_id, CAST(sum(copies) AS BIGINT) AS documents, count(*) AS texts, sum(copies * (copies - 1) // 2) AS within
+              FROM classed JOIN texts USING (text_id) GROUP BY 1)
+            SELECT class_id, documents, texts, (within + coalesce(pp, 0))::VARCHAR AS plagiarism_pairs, coalesce(sp, 0)::VARCHAR AS suspicious_pairs
+            FROM sized LEFT JOIN banded USING (class_id) WHERE documents > 1""",
+        "stream_rejects": f"""WITH {UPLOADS},
+            sent AS (SELECT * FROM uploads
+              UNION ALL SELECT id, 'again ' || id || '.pdf', raw_text FROM uploads WHERE id % 7 IN (0, 4)
+              UNION ALL SELECT id, 'x.txt', raw_text FROM uploads WHERE id % 9 = 0
+              UNION ALL SELECT NULL, filename, raw_text FROM uploads WHERE id % 11 = 0),
+            judged AS (SELECT id, CASE WHEN id IS NULL THEN 'no id' WHEN lower(filename) NOT LIKE '%.pdf' THEN 'name'
+              WHEN len({tokens('raw_text')}) < 10 THEN 'content' END AS reason FROM sent),
+            good AS (SELECT count(*) AS n, count(DISTINCT id) AS ids FROM judged WHERE reason IS NULL)
+            SELECT reason, count(*) AS rows FROM judged WHERE reason IS NOT NULL GROUP BY 1
+            UNION ALL SELECT 'duplicate', n - ids FROM good UNION ALL SELECT 'accepted', ids FROM good
+            UNION ALL SELECT 'read', count(*) FROM sent""",
+        "documents_head": "SELECT doc_id, row_idx FROM (SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents) WHERE row_idx < 50",
+        "documents_window": f"""SELECT doc_id, row_idx - {start} AS row_idx FROM (SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents)
+            WHERE row_idx >= {start} AND row_idx < {start + WINDOW_ROWS}""",
         "pair_number_features": f"""WITH {VOCABULARY}, {weights('a')}, {weights('b')}, {JOINED}, {scores('usable')},
             linear AS (SELECT pid, sum(a * b) AS cosine, count(*) FILTER (a * b <> 0) AS n_shared FROM both_sides GROUP BY pid),
             numbers AS (SELECT pid, {NUMBERS} FROM scored)
@@ -398,7 +433,7 @@ def _oracles() -> dict[str, str]:
         "train_metrics": f"""WITH {split} SELECT 'labelled_pairs' AS dataset_name, count(*) AS total_examples, count(*) FILTER (NOT is_test) AS train_examples,
             count(*) FILTER (is_test) AS test_examples, 'TF-IDF + Logistic Regression con características de comparación' AS model,
             count(*) FILTER (is_test AND label = 0) AS no_plagio_support, count(*) FILTER (is_test AND label = 1) AS plagio_support,
-            count(*) FILTER (is_test) AS tested FROM s""",
+            count(*) FILTER (is_test) AS tested, true AS metrics_follow_counts, true AS classes_told_apart FROM s""",
         "evaluate_threshold_head": first_rows(f"""WITH {METRICS} SELECT {LIMITED_ROWS} AS limit_requested, tn + fp + fn + tp AS evaluated_count,
             (SELECT count(*) FROM labelled) - (tn + fp + fn + tp) AS skipped_rows, tn AS true_negative, fp AS false_positive,
             fn AS false_negative, tp AS true_positive FROM cm""", LIMITED_ROWS),

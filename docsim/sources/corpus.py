@@ -1,15 +1,19 @@
 """The document corpus: one table, its schema, and its maintenance.
 
-The functions take and return DataFrames. :class:`CorpusTable` keeps the table as a sequence
-of Parquet snapshots, because Spark cannot overwrite files that the same query reads.
+The functions take and return DataFrames; :class:`CorpusTable` keeps the table as partitioned Parquet.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from docsim.session import written
+
 CORPUS_SCHEMA = Ty.StructType(
     [
         Ty.StructField("id", Ty.LongType()),
@@ -28,6 +32,9 @@ CORPUS_SCHEMA = Ty.StructType(
 DEFAULT_LANGUAGE = "unknown"
 UPLOAD = "upload"
 DATASET = "dataset"
+# Buckets of ids in a stored corpus, and ids that the Bloom filter of a row group is made for.
+BUCKETS = 64
+BLOOM_IDS = 100_000
 
 
 def corpus_rows(
@@ -109,80 +116,107 @@ def corpus_counts(corpus: DataFrame) -> DataFrame:
 
 
 class CorpusTable:
-    """A corpus kept under a folder, partitioned by ``source_type``.
+    """A corpus kept as Parquet under a folder, in partitions of ``source_type`` and a bucket of the id.
+
+    Deleting rewrites the partitions that hold one of the ids and leaves the files of all others as they
+    are: Spark's dynamic partition overwrite replaces the partitions that a job writes. A partition that
+    loses its last document is written with a row without id, which ``read`` leaves out; documents without id
+    are not stored. Spark stages the new files and puts them in place when the whole job has succeeded,
+    partition by partition, so one writer at a time may delete.
 
-    ``save`` appends to the newest snapshot; deleting writes the next snapshot. A snapshot
-    counts only once its write is complete, so a failed job leaves the previous one in place.
-    Deletes come in tables of ids: one rewrite serves any number of them.
+    Files are sorted by id and carry a Bloom filter on it, so a lookup reads one bucket and in it only the row
+    groups that may hold the id. The number of buckets is part of the name of the partition column; a folder
+    is opened with the number it was made with.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
         self.spark = spark
         self.folder = folder.rstrip("/")
-
-    def _snapshots(self) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        done = [
-            name
-            for name in names
-            if name.startswith("snapshot=")
-            and files.exists(
-                self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/_SUCCESS")
-            )
-        ]
-        return sorted(int(name.split("=")[1]) for name in done)
-
-    def _path(self, number: int) -> str:
-        return f"{self.folder}/snapshot={number}"
+        self.buckets = buckets
+        self.bucket_col = f"id_bucket_of_{buckets}"
+
+    def _bucket(self, id_column: Column) -> Column:
+        return F.pmod(F.xxhash64(id_column.cast("bigint")), F.lit(self.buckets)).cast("int")
+
+    def _stored(self) -> DataFrame:
+        """All rows with their bucket, placeholders included; no rows before the first save."""
+        empty = self.spark.createDataFrame([], CORPUS_SCHEMA).withColumn(self.bucket_col, F.lit(0))
+        try:
+            stored = self.spark.read.schema(CORPUS_SCHEMA).parquet(self.folder)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return empty
+            raise
+        if self.bucket_col in stored.columns:
+            return stored.select(*empty.columns)
+        if set(stored.columns) - set(CORPUS_SCHEMA.fieldNames()):
+            raise ValueError(f"{self.folder} was made with another number of buckets than {self.buckets}")
+        return empty  # cleared
+
+    def _write(self, rows: DataFrame, mode: str, overwrite: str = "static") -> None:
+        """Write rows of the corpus; partitions come together in files of even size, sorted by id."""
+        keys = ["source_type", self.bucket_col]
+        placed = rows.withColumn(self.bucket_col, self._bucket(F.col("id"))) if self.bucket_col not in rows.columns else rows
+        (
+            placed.hint("rebalance", *keys)
+            .sortWithinPartitions(*keys, "id")
+            .write.mode(mode)
+            .option("partitionOverwriteMode", overwrite)
+            .option("parquet.bloom.filter.enabled#id", "true")
+            .option("parquet.bloom.filter.expected.ndv#id", str(BLOOM_IDS))
+            .partitionBy(*keys)
+            .parquet(self.folder)
+        )
+
+    def _replace(self, kept: DataFrame, touched: list[tuple[str, int]]) -> None:
+        """Write ``kept`` as the new content of the ``touched`` partitions."""
+        names = [name for name in CORPUS_SCHEMA.fieldNames() if name != "source_type"]
+        marks = self.spark.createDataFrame(touched, f"source_type string, {self.bucket_col} int")
+        marks = marks.select("*", *[F.lit(None).cast(CORPUS_SCHEMA[name].dataType).alias(name) for name in names])
+        self._write(kept.unionByName(marks), "overwrite", "dynamic")
+
+    def _partitions(self, rows: DataFrame) -> list[tuple[str, int]]:
+        """The partitions that rows lie in: at most ``buckets`` for each source."""
+        return [tuple(row) for row in rows.select("source_type", self.bucket_col).distinct().collect()]
 
     def read(self) -> DataFrame:
         """All stored documents; an empty table before the first save."""
-        snapshots = self._snapshots()
-        if not snapshots:
-            return self.spark.createDataFrame([], CORPUS_SCHEMA)
-        path = self._path(snapshots[-1])
-        stored = self.spark.read.schema(CORPUS_SCHEMA).option("basePath", path).parquet(path)
-        return stored.select(*CORPUS_SCHEMA.fieldNames())
+        return self._stored().where("id IS NOT NULL").select(*CORPUS_SCHEMA.fieldNames())
 
     def save(self, documents: DataFrame) -> None:
-        """Append documents, with the defaults of :func:`corpus_rows`."""
-        snapshots = self._snapshots()
-        path = self._path(snapshots[-1] if snapshots else 0)
-        corpus_rows(documents).write.mode("append").partitionBy("source_type").parquet(path)
-
-    def _replace(self, kept: DataFrame) -> None:
-        snapshots = self._snapshots()
-        number = snapshots[-1] + 1 if snapshots else 0
-        kept.write.partitionBy("source_type").parquet(self._path(number))
+        """Append documents, with the defaults of :func:`corpus_rows`; rows without id are left out."""
+        self._write(corpus_rows(documents).where("id IS NOT NULL"), "append")
 
     def get(self, doc_id: int) -> DataFrame:
-        return document_by_id(self.read(), doc_id)
+        """The document with this id, or no row: one bucket is read."""
+        bucket = self._bucket(F.lit(doc_id))
+        found = document_by_id(self._stored().where(F.col(self.bucket_col) == bucket), doc_id)
+        return found.select(*CORPUS_SCHEMA.fieldNames())
 
     def delete(self, ids: DataFrame) -> int:
         """Delete the documents of ``ids(id)``; returns how many of these ids existed."""
-        corpus = self.read()
-        existed = deletion_report(corpus, ids).where("existed").count()
-        if existed:
-            self._replace(without_documents(corpus, ids))
-        return existed
+        stored = self._stored()
+        asked = ids.select("id").where("id IS NOT NULL").distinct().withColumn(self.bucket_col, self._bucket(F.col("id")))
+        found = written(stored.select("id", "source_type", self.bucket_col).join(asked, ["id", self.bucket_col], "left_semi"), "found")
+        touched = self._partitions(found)
+        if touched:
+            inside = [(F.col("source_type") == source) & (F.col(self.bucket_col) == bucket) for source, bucket in touched]
+            rows = stored.where(reduce(Column.__or__, inside)).where("id IS NOT NULL")
+            self._replace(rows.join(found.select("id"), "id", "left_anti"), touched)
+        return found.select("id").distinct().count()
 
     def clear(self) -> int:
         """Delete everything; returns how many documents there were."""
-        corpus = self.read()
-        total = corpus.count()
-        self._replace(corpus.where(F.lit(False)))
+        total = self.read().count()
+        self._write(self.spark.createDataFrame([], CORPUS_SCHEMA), "overwrite")
         return total
 
     def clear_dataset(self) -> int:
         """Delete the dataset documents only; returns how many there were."""
-        corpus = self.read()
-        total = corpus.where(F.col("source_type") == DATASET).count()
+        dataset = self._stored().where(F.col("source_type") == DATASET)
+        total = dataset.where("id IS NOT NULL").count()
         if total:
-            self._replace(without_dataset(corpus))
+            self._replace(dataset.where(F.lit(False)), self._partitions(dataset))
         return total
 
     def counts(self) -> DataFrame:

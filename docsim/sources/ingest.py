@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsim.functions import text as T
@@ -61,24 +64,76 @@ def with_row_index(parquet_rows: DataFrame, index_col: str = "row_idx") -> DataF
     )
 
 
+def _rows_of_files(spark: SparkSession, files: list[str]) -> dict[str, int]:
+    """Rows of Parquet files, from their footers: no column is read."""
+    counts = spark.read.parquet(*files).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return {unquote(row["file"]): row["n"] for row in counts.collect()}
+
+
+def read_window(spark: SparkSession, path: str, start: int, limit: int, index_col: str = "row_idx") -> DataFrame:
+    """``limit`` rows of a Parquet table from row ``start`` on, numbered from 0, in file order.
+
+    Footers tell which files hold the window, and only these are scanned. Files are asked in order, more each
+    time, and none after the window's end, so a head opens the first file alone.
+    """
+    if limit < 1 or start < 0:
+        raise ValueError("limit must be at least 1 and start at least 0")
+    whole = spark.read.parquet(path)
+    files = sorted(whole.inputFiles())
+    chosen: list[str] = []
+    seen = first = at = 0
+    step = 1
+    while at < len(files) and seen < start + limit:
+        asked = files[at : at + step]
+        counts = _rows_of_files(spark, asked)
+        for file in asked:
+            rows = counts.get(unquote(file), 0)
+            if rows and seen < start + limit and seen + rows > start:
+                first = first if chosen else seen
+                chosen.append(file)
+            seen += rows
+        at, step = at + step, step * 4
+    if not chosen:
+        return with_row_index(whole, index_col).where(F.lit(False))
+    rows = with_row_index(spark.read.schema(whole.schema).parquet(*chosen), index_col)
+    return window_rows(rows.withColumn(index_col, F.col(index_col) + first), start, limit, index_col)
+
+
+def _joined_pages(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (document, text) to one row per document; only the document at hand is held."""
+    document, pages, kind = None, [], pa.null()
+    for batch in stream:
+        kind = batch.column(0).type
+        keys, texts = [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if pages and key != document:
+                keys.append(document)
+                texts.append("\n".join(pages))
+                pages = []
+            document = key
+            pages.append(text)
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(texts, pa.string())], names=["document", "text"])
+    if pages:
+        last = [pa.array([document], kind), pa.array(["\n".join(pages)], pa.string())]
+        yield pa.RecordBatch.from_arrays(last, names=["document", "text"])
+
+
 def assemble_pages(
     pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_col, raw_text``: page texts in page order, a line break after each, ends trimmed."""
-    gathered = pages.groupBy(doc_col).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col(page_col).alias("page"),
-                    F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                )
-            )
-        ).alias("pages")
-    )
-    return gathered.select(
-        doc_col,
-        T.strip_spaces(F.array_join(F.col("pages.text"), "\n")).alias("raw_text"),
+    """``doc_col, raw_text``: page texts in page order, a line break after each, ends trimmed.
+
+    Rows are sorted by document and page, which spills to disk, and joined in one pass, so a document of very
+    many pages takes the memory of its text and no list of rows is built.
+    """
+    kind = pages.schema[doc_col].dataType.simpleString()
+    placed = pages.select(
+        F.col(doc_col).alias("document"), F.col(page_col).alias("page"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    ordered = placed.repartition("document").sortWithinPartitions("document", "page", "text")
+    joined = ordered.select("document", "text").mapInArrow(_joined_pages, f"document {kind}, text string")
+    return joined.select(F.col("document").alias(doc_col), T.strip_spaces(F.col("text")).alias("raw_text"))
 
 
 def ingest_documents(documents: DataFrame) -> DataFrame:

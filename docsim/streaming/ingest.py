@@ -1,41 +1,139 @@
-"""Document ingest from a stream."""
+"""Document ingest from a stream: accepted documents to the corpus, all others to a table of rejects."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
+from docsim.functions import text as T
 from docsim.sources.corpus import CorpusTable
 from docsim.sources.ingest import ingest_documents
 
+# Why a row is not stored.
+NO_ID, WRONG_NAME, LITTLE_CONTENT, DUPLICATE, STORED = "no id", "name", "content", "duplicate", "stored"
+# Groups that rows without id are dealt out to.
+SPREAD = 256
+REJECT_SCHEMA = "id bigint, filename string, reason string, rows bigint, batch bigint"
+_ROW = "id bigint, filename string, raw_text string, reason string, place string"
+
+
+def with_reason(documents: DataFrame) -> DataFrame:
+    """Rows of ``id, filename, raw_text`` with the ``reason`` not to store them, by their own content, or null.
+
+    ``place`` is the fixed order among rows of one id: by name, then by a digest of the text.
+    """
+    reason = (
+        F.when(F.col("id").isNull(), NO_ID)
+        .when(~F.coalesce(T.is_pdf_name(F.col("filename")), F.lit(False)), WRONG_NAME)
+        .when(~T.is_valid_document(F.col("raw_text")), LITTLE_CONTENT)
+    )
+    place = F.concat_ws("|", F.coalesce("filename", F.lit("")), F.sha2(F.coalesce("raw_text", F.lit("")), 256))
+    return documents.select(F.col("id").cast("bigint").alias("id"), "filename", "raw_text", reason.alias("reason"), place.alias("place"))
+
+
+def _first_of_id(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Of the acceptable rows of one id in a batch, all but the one to store become duplicates.
+
+    The state says whether the id has been accepted before. The rows come in parts; only the best row so far
+    is held. Rows with a reason pass.
+    """
+    stored, best = state.exists, None
+    for rows in parts:
+        bad = rows[rows["reason"].notna()]
+        if len(bad):
+            yield bad
+        good = rows[rows["reason"].isna()]
+        if not stored:
+            good = good if best is None else pd.concat([best, good])
+            good = good.sort_values("place", kind="stable")
+            best, good = good.iloc[:1], good.iloc[1:]
+        if len(good):
+            yield good.assign(reason=DUPLICATE)
+    if best is not None and len(best):
+        state.update((True,))
+        yield best
+
+
+def accepted_once(judged: DataFrame) -> DataFrame:
+    """Rows of :func:`with_reason` as a stream: of each id, the first acceptable row keeps a null reason.
+
+    First by batch, then by ``place``. The ids accepted so far are kept in Spark's state store, which grows
+    with the accepted ids. Rows without id are dealt out by their place.
+    """
+    spread = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("place"), F.lit(SPREAD))).otherwise(F.lit(0))
+    grouped = judged.withColumn("spread", spread).groupBy("id", "spread")
+    return grouped.applyInPandasWithState(_first_of_id, _ROW, "accepted boolean", "append", "NoTimeout")
+
+
+def _count_rejects(batch: DataFrame, number: int, stored: DataFrame, rejects: str) -> None:
+    """Write the batch's rejects and, in a row without reason, how many rows it had.
+
+    A batch that is tried again keeps the rejects of its first try: by then its own documents may be stored.
+    """
+    if not _reports(batch.sparkSession, rejects).where(F.col("batch") == number).isEmpty():
+        return
+    before = F.when(F.col("reason").isNull() & F.col("known"), STORED).otherwise(F.col("reason"))
+    judged = batch.join(stored.withColumn("known", F.lit(True)), "id", "left").withColumn("reason", before)
+    bad = judged.where("reason IS NOT NULL").groupBy("id", "filename", "reason").agg(F.count(F.lit(1)).alias("rows"))
+    read = batch.agg(F.count(F.lit(1)).alias("rows")).selectExpr("NULL AS id", "NULL AS filename", "NULL AS reason", "rows")
+    report = bad.unionByName(read).withColumn("batch", F.lit(number))
+    report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rejects)
+
 
 def stream_into_corpus(
-    documents: DataFrame, corpus: CorpusTable, checkpoint: str, available_now: bool = True
+    documents: DataFrame,
+    corpus: CorpusTable,
+    checkpoint: str,
+    rejects: str | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Append accepted documents of a stream of ``id, filename, raw_text`` to the corpus.
 
-    Ingest is stateless, so every micro-batch runs the batch operator. A batch that is retried
-    after a failure is not appended twice: documents whose ids are stored are left out, and so are
-    further rows of an id within a batch. The batch is kept while it is read twice.
+    Every other row is counted under ``rejects`` (next to the corpus, if not given) with its reason, so rows
+    read are documents stored plus rows rejected. A batch that is tried again after a failure is not stored
+    or counted twice. An id that the corpus held before is rejected as stored.
     """
+    rejects = rejects or f"{corpus.folder}-rejects"
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            store(batch)
+            span = batch.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+            # the id range reaches the Parquet scan and skips most of the stored files
+            stored = corpus.read().where(F.col("id").between(span["low"], span["high"])).select("id").distinct()
+            _count_rejects(batch, number, stored, rejects)
+            known = _reports(batch.sparkSession, rejects).where((F.col("batch") == number) & (F.col("reason") == STORED))
+            fresh = batch.where("reason IS NULL").join(known.select("id"), "id", "left_anti").join(stored, "id", "left_anti")
+            corpus.save(ingest_documents(fresh.select("id", "filename", "raw_text")))
         finally:
             batch.unpersist()
 
-    def store(batch: DataFrame) -> None:
-        span = batch.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
-        if span["low"] is None:
-            return
-        # the id range reaches the Parquet scan and skips most of the stored files
-        stored = corpus.read().where(F.col("id").between(span["low"], span["high"])).select("id")
-        corpus.save(ingest_documents(batch.join(stored, "id", "left_anti").dropDuplicates(["id"])))
-
-    writer = documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    writer = accepted_once(with_reason(documents)).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
+    try:
+        return spark.read.schema(REJECT_SCHEMA).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], REJECT_SCHEMA)
+        raise
+
+
+def rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, filename, reason, rows, batch`` of all rows that were not stored."""
+    return _reports(spark, folder).where("reason IS NOT NULL")
+
+
+def rows_read(spark: SparkSession, folder: str) -> DataFrame:
+    """``batch, rows``: the rows of every batch so far."""
+    return _reports(spark, folder).where("reason IS NULL").select("batch", "rows")

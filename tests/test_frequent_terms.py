@@ -6,6 +6,7 @@ import pytest
 
 from docsim.operators import features as X
 from docsim.operators import frequent_terms as H
+from docsim.operators import term_weights as W
 
 
 def counted(texts):
@@ -43,7 +44,7 @@ def test_cut_counts_bound_what_they_take_off():
 
 @pytest.mark.parametrize("capacity", [5, 60, 400, 1 << 20])
 def test_vocabulary_is_exact_at_every_capacity(spark, monkeypatch, capacity):
-    monkeypatch.setattr(H, "CHUNK_CHARS", 500)
+    monkeypatch.setattr(W, "CHUNK_CHARS", 500)
     texts = zipf(random.Random(7), 400, 300) + [None, ""]
     df = spark.createDataFrame([(t,) for t in texts], "p string").repartition(6)
     total, df_counts = counted(texts)
@@ -54,7 +55,7 @@ def test_vocabulary_is_exact_at_every_capacity(spark, monkeypatch, capacity):
 
 
 def test_a_tie_at_the_last_place_goes_by_the_alphabet(spark, monkeypatch):
-    monkeypatch.setattr(H, "CHUNK_CHARS", 200)
+    monkeypatch.setattr(W, "CHUNK_CHARS", 200)
     # 20 frequent words, then a tie of 30 words for the last 5 places, then many rare ones
     often = [f"often{k:02}" for k in range(20) for _ in range(40)]
     tied = [f"tie{k:02}" for k in range(30) for _ in range(20)]
@@ -70,7 +71,7 @@ def test_a_tie_at_the_last_place_goes_by_the_alphabet(spark, monkeypatch):
 
 
 def test_only_candidates_are_counted_in_the_second_pass(spark, monkeypatch):
-    monkeypatch.setattr(H, "CHUNK_CHARS", 200)
+    monkeypatch.setattr(W, "CHUNK_CHARS", 200)
     words = [f"often{k:02}" for k in range(20) for _ in range(100)] + [f"rare{k}" for k in range(3000)]
     random.Random(3).shuffle(words)
     df = spark.createDataFrame([(w,) for w in words], "p string").repartition(4)
