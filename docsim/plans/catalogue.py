@@ -347,13 +347,18 @@ def corpus_table(spark: SparkSession, sf: str) -> DataFrame:
     """Save, delete, clear the dataset part, clear all: rows reported by each step."""
     stored = C.CorpusTable(spark, new_path(spark, "corpus"))
     stored.save(inputs.corpus(spark, sf))
-    counts = stored.counts().withColumn("step", F.lit("saved"))
+
+    def counted(step: str) -> DataFrame:
+        # the next step changes the files
+        return written(stored.counts().withColumn("step", F.lit(step)), "counts")
+
+    counts = counted("saved")
     deleted = stored.delete(_unwanted(spark, sf))
-    after_delete = stored.counts().withColumn("step", F.lit("deleted"))
+    after_delete = counted("deleted")
     cleared = stored.clear_dataset()
-    after_clear = stored.counts().withColumn("step", F.lit("dataset cleared"))
+    after_clear = counted("dataset cleared")
     all_cleared = stored.clear()
-    after_all = stored.counts().withColumn("step", F.lit("cleared"))
+    after_all = counted("cleared")
     removed = {"saved": 0, "deleted": deleted, "dataset cleared": cleared, "cleared": all_cleared}
     number = F.lit(None).cast("bigint")
     for step, n in removed.items():

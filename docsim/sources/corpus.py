@@ -33,7 +33,7 @@ DEFAULT_LANGUAGE = "unknown"
 UPLOAD = "upload"
 DATASET = "dataset"
 # Buckets of ids in a stored corpus, and ids that the Bloom filter of a row group is made for.
-BUCKETS = 64
+BUCKETS = 16
 BLOOM_IDS = 100_000
 
 
@@ -122,7 +122,8 @@ class CorpusTable:
     are: Spark's dynamic partition overwrite replaces the partitions that a job writes. A partition that
     loses its last document is written with a row without id, which ``read`` leaves out; documents without id
     are not stored. Spark stages the new files and puts them in place when the whole job has succeeded,
-    partition by partition, so one writer at a time may delete.
+    partition by partition, so one writer at a time may delete; what was read before a delete must be used
+    before it.
 
     Files are sorted by id and carry a Bloom filter on it, so a lookup reads one bucket and in it only the row
     groups that may hold the id. The number of buckets is part of the name of the partition column; a folder

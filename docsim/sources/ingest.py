@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterable, Iterator
 from urllib.parse import unquote
 
@@ -64,10 +65,15 @@ def with_row_index(parquet_rows: DataFrame, index_col: str = "row_idx") -> DataF
     )
 
 
+def _path_of(file: str) -> str:
+    """A file's path without scheme and host, which Spark writes in more than one way."""
+    return re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", unquote(file))
+
+
 def _rows_of_files(spark: SparkSession, files: list[str]) -> dict[str, int]:
     """Rows of Parquet files, from their footers: no column is read."""
     counts = spark.read.parquet(*files).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return {unquote(row["file"]): row["n"] for row in counts.collect()}
+    return {_path_of(row["file"]): row["n"] for row in counts.collect()}
 
 
 def read_window(spark: SparkSession, path: str, start: int, limit: int, index_col: str = "row_idx") -> DataFrame:
@@ -79,7 +85,7 @@ def read_window(spark: SparkSession, path: str, start: int, limit: int, index_co
     if limit < 1 or start < 0:
         raise ValueError("limit must be at least 1 and start at least 0")
     whole = spark.read.parquet(path)
-    files = sorted(whole.inputFiles())
+    files = sorted(whole.inputFiles(), key=_path_of)
     chosen: list[str] = []
     seen = first = at = 0
     step = 1
@@ -87,7 +93,7 @@ def read_window(spark: SparkSession, path: str, start: int, limit: int, index_co
         asked = files[at : at + step]
         counts = _rows_of_files(spark, asked)
         for file in asked:
-            rows = counts.get(unquote(file), 0)
+            rows = counts.get(_path_of(file), 0)
             if rows and seen < start + limit and seen + rows > start:
                 first = first if chosen else seen
                 chosen.append(file)

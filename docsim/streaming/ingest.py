@@ -21,6 +21,7 @@ NO_ID, WRONG_NAME, LITTLE_CONTENT, DUPLICATE, STORED = "no id", "name", "content
 SPREAD = 256
 REJECT_SCHEMA = "id bigint, filename string, reason string, rows bigint, batch bigint"
 _ROW = "id bigint, filename string, raw_text string, reason string, place string"
+_COLUMNS = ["id", "filename", "raw_text", "reason", "place"]
 
 
 def with_reason(documents: DataFrame) -> DataFrame:
@@ -44,7 +45,8 @@ def _first_of_id(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -
     is held. Rows with a reason pass.
     """
     stored, best = state.exists, None
-    for rows in parts:
+    for part in parts:
+        rows = part[_COLUMNS]
         bad = rows[rows["reason"].notna()]
         if len(bad):
             yield bad
