@@ -26,7 +26,7 @@ HEAD_ROWS = 50
 LOOKUP_ID = 42
 LIMITED_ROWS = 120
 LOW_SCORE = 0.02
-LEAST_QUALITY = 0.9
+LEAST_QUALITY = 0.75
 # coefficients of the checked model, by formula
 INTERCEPT = 0.1
 NUMERIC_COEFS = {"cosine": 1.5, "jaccard": -0.5, "containment": 0.75, "length_ratio": -0.25}
