@@ -10,6 +10,7 @@ same stride, so record ``slot % S`` is where a reader resumes.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ MOST_TASKS = 100_000
 KEY = 20240229
 ROUNDS = 6
 CHUNK = 1 << 20
+BLANKS = 1 << 16
+LONG_BLANK = re.compile(rf"\s{{{BLANKS + 1},}}")
 # the pre-tokeniser of the vocabulary, a fixed value
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -43,18 +46,32 @@ def load_tokenizer(path: str):
     return tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _cuts(text: str) -> list[int]:
+    """Ends of the pieces that a text is tokenised in.
+
+    A run of blanks is cut after every ``BLANKS`` of them: the pre-tokeniser fails on very long ones. Any other
+    piece of ``CHUNK`` characters ends where a letter or digit meets a blank, if there is such a place.
+    """
+    blanks = [m.start() + k for m in LONG_BLANK.finditer(text) for k in range(BLANKS, m.end() - m.start(), BLANKS)]
+    out, at = [], 0
+    for stop in [*blanks, len(text)]:
+        while stop - at > CHUNK:
+            end = at + CHUNK
+            at = next((k for k in range(end, at, -1) if text[k] == " " and text[k - 1].isalnum()), end)
+            out.append(at)
+        out.append(stop)
+        at = stop
+    return out
+
+
 def encode(tokenizer, text: str | None) -> np.ndarray:
-    """Token ids of a whole text; very long texts are cut where a letter or digit meets a blank."""
+    """Token ids of a whole text, of any length."""
     text = text or ""
-    parts, at = [], 0
-    while at < len(text):
-        end = min(len(text), at + CHUNK)
-        if end < len(text):
-            cut = next((k for k in range(end, at, -1) if text[k] == " " and text[k - 1].isalnum()), end)
-            end = cut
+    parts, at = [np.zeros(0, np.uint16)], 0
+    for end in _cuts(text):
         parts.append(np.array(tokenizer.encode_ordinary(text[at:end]), np.uint16))
         at = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint16)
+    return np.concatenate(parts)
 
 
 def _staged(path: str, end: int, length: int) -> Callable:
