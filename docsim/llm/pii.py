@@ -156,6 +156,8 @@ def _spoken_edits(text: str) -> list[tuple[int, int, str]]:
     for m in _SPOKEN.finditer(text):
         if "@" in m[0] and not re.search(r"[\[({<]", m[0]) and not _DOT_ONE.search(m[0]):
             continue  # a plain address
+        if not re.search(r"(?<![A-Za-z0-9-])[A-Za-z]{2,}$", m[0]):
+            continue  # a time or a number: the last label of a domain has letters only
         found = [(x.start(), x.end(), "@") for x in _AT_ONE.finditer(text, m.start(), m.end())]
         found += [(x.start(), x.end(), ".") for x in _DOT_ONE.finditer(text, m.start(), m.end())]
         edits += sorted(found)
