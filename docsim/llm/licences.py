@@ -172,14 +172,17 @@ class Scanner:
         """Best covered share per label over chains of matches that advance in text and template."""
         best: dict[str, float] = {}
         for t, matches in self.stretches(parts).items():
-            chains: list[list[int]] = []  # end in text, end in template, covered words
+            chains: list[list[int]] = []  # end in text, end in template, covered words, start of the last match
+            far = GAP + self.sizes[t] // 4
             for start, place, size in sorted(matches):
                 covered, chosen = size, None
-                for chain in reversed(chains[-GAP:]):
+                for chain in reversed(chains):
+                    if start - chain[3] > far + self.sizes[t]:
+                        break  # a match is no longer than the template, so all chains before end too far back
                     gap = start - chain[0]
-                    if 0 <= gap <= GAP + self.sizes[t] // 4 and place >= chain[1] and chain[2] + size > covered:
+                    if 0 <= gap <= far and place >= chain[1] and chain[2] + size > covered:
                         covered, chosen = chain[2] + size, chain
-                chains.append([start + size, place + size, covered])
+                chains.append([start + size, place + size, covered, start])
                 label = self.labels[t]
                 best[label] = max(best.get(label, 0.0), covered / self.sizes[t])
         return best

@@ -183,7 +183,7 @@ def test_half_disguised_addresses_are_found_whatever_stands_elsewhere(span, else
 
 
 def test_ordinary_prose_is_not_disguised_data():
-    for text in ("we met at noon. two three four people came", "look at it, dot your i", "one two three", "five at a time"):
+    for text in ("we met at noon. two three four people came", "look at it, dot your i", "one two three", "five at a time", "We start at 9.30 today", "it was at 36.6 then", "look at 3.5 and 4 dot 5"):
         assert not pii.find_disguised(text, pii.find(text))
 
 
@@ -251,3 +251,31 @@ def test_notice_with_a_changed_word_still_covers_its_template():
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert oracle.compare(queries.QUERIES[name](spark, sf_dir), oracle.connect(sf_dir), queries.ORACLES[name]) is None
+
+
+def test_chains_reach_back_by_position_not_by_number():
+    scanner = licences.default_scanner()
+    far = max(range(len(scanner.sizes)), key=lambda t: scanner.sizes[t])
+    size = scanner.sizes[far]
+    # the template's first half, many short matches of its start that lead nowhere, then its second half
+    half = size // 2
+    stray = [(half + 3 * k, 0, licences.SHORTEST) for k in range(licences.GAP + 4)]
+    found = {far: [(0, 0, half), *[m for m in stray if m[0] + m[2] <= half + licences.GAP + size // 4], (half + licences.GAP + size // 4, half, size - half)]}
+    scanner_found = type(scanner).stretches
+    try:
+        type(scanner).stretches = lambda self, parts: found
+        assert scanner.coverage([])[scanner.labels[far]] == 1.0
+    finally:
+        type(scanner).stretches = scanner_found
+
+
+def test_tokens_of_very_long_runs():
+    from docsim.llm import token_shards
+
+    tokenizer = token_shards.load_tokenizer(token_shards.TOKENIZER)
+    for blank in (" ", "\n"):
+        for tail in ("", "x"):
+            text = "ab" + blank * 200_001 + tail
+            assert token_shards.encode(tokenizer, text).tolist() == tokenizer.encode_ordinary(text)
+    for text in (" " * 3_000_000, "\n" * 3_000_000, "a" * 3_000_000, "x" + " \n\t" * 700_000 + "y"):
+        assert tokenizer.decode(token_shards.encode(tokenizer, text).tolist()) == text
