@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docsim.llm.words import text_bytes, values
 
@@ -71,16 +72,19 @@ class Pieces:
     owner: np.ndarray
     place: np.ndarray
     table: np.ndarray
+    short: dict[bytes, list[tuple[list[bytes], object]]]  # words and item of short items, by their first word
 
     @staticmethod
     def build(rows: list[tuple], edit_share: float = EDIT_SHARE) -> Pieces:
-        items, texts = [], []
+        items, texts, short = [], [], {}
         for item, text in rows:
             codes = folded(text)
             while len(codes) and codes[-1] == 32:
                 codes = codes[:-1]
             n = len(codes)
             if n < SHORTEST:
+                if phrase := codes.tobytes().split():
+                    short.setdefault(phrase[0], []).append((phrase, item))
                 continue
             starts = range(0, max(1, n - PIECE + STEP), STEP) if n > PIECE else [0]
             for s in starts:
@@ -100,18 +104,24 @@ class Pieces:
             place.append(np.arange(len(g)))
         if not texts:
             empty = np.zeros(0, np.int64)
-            return Pieces([], [], empty, empty, np.zeros(0, np.uint64), empty, empty, np.zeros(1 << TABLE_BITS, bool))
+            return Pieces([], [], empty, empty, np.zeros(0, np.uint64), empty, empty, np.zeros(1 << TABLE_BITS, bool), short)
         grams, owner, place = map(np.concatenate, (grams, owner, place))
         order = np.argsort(grams, kind="stable")
         grams, owner, place = grams[order], owner[order], place[order]
         table = np.zeros(1 << TABLE_BITS, bool)
         table[_slots(grams)] = True
-        return Pieces(items, texts, edits, needed, grams, owner, place, table)
+        return Pieces(items, texts, edits, needed, grams, owner, place, table, short)
 
     def search(self, text: str | None) -> dict:
-        """Least edits per item over its pieces found in the text."""
+        """Least edits per item over its pieces found in the text; short items are found as whole words, without edits."""
         found: dict = {}
         codes = folded(text)
+        if self.short:
+            parts = codes.tobytes().split()
+            for k, word in enumerate(parts):
+                for phrase, item in self.short.get(word, ()):
+                    if parts[k : k + len(phrase)] == phrase:
+                        found[item] = 0
         for at in range(0, max(1, len(codes) - 1), SPAN):
             self._search(codes[max(0, at - 2 * PIECE) : at + SPAN], found)
         return found
@@ -214,7 +224,7 @@ def matches(
 
     ``edits`` is the least number of edits over the item's pieces. Null and empty texts hold nothing;
     an empty benchmark gives no rows; repeated documents give repeated rows; rows with null ids are
-    returned with a null id. Items of fewer than ``SHORTEST`` folded bytes are not searched.
+    returned with a null id. Items of fewer than ``SHORTEST`` folded bytes are found as whole words, without edits.
     """
     spark = documents.sparkSession
     item_type = benchmark.schema[item_col].dataType.simpleString()
@@ -222,12 +232,12 @@ def matches(
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = None
     for block in benchmark_blocks(benchmark, item_col, item_text, block_chars):
-        part = docs.mapInArrow(_matcher(block, edit_share), schema)
+        part = docs.mapInArrow(_matcher(block, edit_share, to_arrow_type(benchmark.schema[item_col].dataType)), schema)
         found = part if found is None else found.union(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def _matcher(block: list[tuple], edit_share: float):
+def _matcher(block: list[tuple], edit_share: float, item_type: pa.DataType):
     def scan(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Pieces.build(block, edit_share)
         for batch in stream:
@@ -239,7 +249,7 @@ def _matcher(block: list[tuple], edit_share: float):
                     edits.append(distance)
             if ids:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, batch.schema.field(0).type), pa.array(items), pa.array(edits, pa.int32())],
+                    [pa.array(ids, batch.schema.field(0).type), pa.array(items, item_type), pa.array(edits, pa.int32())],
                     names=["doc_id", "item_id", "edits"],
                 )
 

@@ -292,6 +292,64 @@ def test_pipeline_stages_take_effect_and_keep_the_columns(spark, sf_dir):
     assert {r.doc_id for r in result.collect()} == {r.doc_id for r in before.collect()}
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    benchmark = spark.createDataFrame([(1, "Hello"), (2, "the answer is forty two"), (3, "!?"), (4, "")], "item_id int, text string")
+    rows = [(1, "say HELLO, world"), (2, "othello hellos"), (3, "So the answer -- is forty-two."), (4, "the answer is forty twos"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {tuple(r) for r in decontaminate.matches(docs, benchmark).collect()} == {(1, 1, 0), (3, 2, 0)}
+
+
+def plain_hits(texts, items):
+    """Whether any piece of an item lies in a text within its edits, by the whole alignment table."""
+    gap = np.zeros(decontaminate.PIECE, np.uint8)
+    parts, owner = [], []
+    for k, text in enumerate(texts):
+        for part in (decontaminate.folded(text), gap):
+            parts.append(part)
+            owner.append(np.full(len(part), k))
+    corpus, owner = np.concatenate(parts), np.concatenate(owner)
+    steps, hits = np.arange(len(corpus) + 1), set()
+    for item in items:
+        codes = np.frombuffer(decontaminate.folded(item).tobytes().strip(), np.uint8)
+        last = max(0, len(codes) - decontaminate.PIECE)
+        for start in sorted({min(s, last) for s in range(0, last + decontaminate.STEP, decontaminate.STEP)}):
+            piece = codes[start : start + decontaminate.PIECE]
+            row = np.zeros(len(corpus) + 1, np.int64)
+            for letter in piece:
+                new = row + 1
+                new[1:] = np.minimum(new[1:], row[:-1] + (corpus != letter))
+                row = np.minimum.accumulate(new - steps) + steps
+            hits |= set(owner[np.flatnonzero(row[1:] <= int(len(piece) * decontaminate.EDIT_SHARE))].tolist())
+    return hits
+
+
+def test_run_equals_a_plain_version(spark, sf_dir):
+    """The trained and fitted stages as they are, the others by brute force; ``run`` gives what they give in turn."""
+    from test_documents import classes, fingerprint
+
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["toxicity"](spark, queries.table(spark, sf_dir, "documents"), sf_dir).collect()
+    root, first = classes(fingerprint(r.text or "") for r in clean), {}
+    for r in clean:
+        c = root[fingerprint(r.text or "")]
+        first[c] = min(first.get(c, r), r, key=lambda x: x.doc_id)
+    single = sorted(first.values())
+    hits = plain_hits([r.text or "" for r in single], [r.text for r in queries.table(spark, sf_dir, "benchmark").collect()])
+    kept = [r for k, r in enumerate(single) if k not in hits]
+    assert 0 < len(kept) < len(single) < len(clean)
+    mixed = stages["mixing sources"](spark, spark.createDataFrame(kept, queries.table(spark, sf_dir, "documents").schema), sf_dir).collect()
+    tokenizer = token_shards.load_tokenizer(token_shards.TOKENIZER)
+    wanted = []
+    for r in mixed:
+        codes = [*token_shards.encode(tokenizer, r.text).tolist(), token_shards.END]
+        for k, at in enumerate(range(0, len(codes), token_shards.LENGTH)):
+            piece = codes[at : at + token_shards.LENGTH]
+            wanted.append((r.doc_id, k, len(piece)))
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.piece, r.n_tokens) for r in got) == sorted(wanted)
+    assert sorted(r.slot for r in got) == list(range(len(wanted)))
+
+
 def test_stages_take_edge_cases(spark, sf_dir, edge, nothing):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, sf_dir).count() == 0
