@@ -1,15 +1,18 @@
 """Personal data in texts, disguised forms included, with places in the original text.
 
 Plain identifiers are found on the text as it is. For disguised ones small transducers rewrite the text
-- homoglyphs and full-width signs to ASCII, spelled digits to digits, at/dot disguises to signs - and keep,
-for every character written, the span of the source it came from; identifiers found in the rewritten text
-are mapped back to source spans. Added spans never touch those found on the text as it is.
+- homoglyphs and full-width signs to ASCII, spelled digits to digits, at/dot disguises to signs, each in four
+languages - and keep their edits; identifiers found in the rewritten text are mapped back through the edits
+to source spans. Spans found on the text as it is stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -84,66 +87,102 @@ HOMOGLYPHS = dict(
     )
 )
 HOMOGLYPHS |= {chr(0xFF01 + k): chr(0x21 + k) for k in range(94)}  # full-width forms
-HOMOGLYPHS |= {"\u3000": " ", "\u00a0": " ", "\u2010": "-", "\u2011": "-", "\u2013": "-", "\u2024": ".", "\u3002": "."}
-ZERO_WIDTH = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
+HOMOGLYPHS |= {"　": " ", " ": " ", "‐": "-", "‑": "-", "–": "-", "․": ".", "。": "."}
+_GLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "\U0001d400-\U0001d7ff]")
+# letters and digits of the mathematical alphabets, by their compatibility form
+HOMOGLYPHS |= {c: f for c in map(chr, range(0x1D400, 0x1D800)) if (f := unicodedata.normalize("NFKC", c)).isascii() and f.isalnum()}
+ZERO_WIDTH = "​‌‍⁠﻿­"
 
-# Spelled digits.
+# Spelled digits and the plus sign in English, German, French and Spanish.
 SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
     "seven": "7", "eight": "8", "nine": "9", "plus": "+",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6",
+    "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7",
+    "ocho": "8", "nueve": "9", "más": "+",
 }
+# Words for the signs. "at" is an English word too, so alone it asks for a spelled dot.
+AT_WORDS = ("at", "ät", "arroba", "arobase", "klammeraffe")
+DOT_WORDS = ("dot", "punkt", "point", "punto")
+# Words that start a phrase, not a domain ("at the dot in"), and words that end no domain.
+NO_DOMAIN = frozenset(
+    "the a an this that these those each every any some one no my your our his her its their which what another".split()
+)
+NO_ENDING = frozenset("on of and or the was with for from as by if we he she they that this".split())
 
-_GLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + ZERO_WIDTH + "]")
-_NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
-_SPELLED_RUN = re.compile(rf"\b(?:{_NUMBER})\b(?:[ ,.-]{{1,3}}(?:{_NUMBER}|[0-9]+)\b){{3,}}", re.I)
+_GLYPHS = str.maketrans(HOMOGLYPHS)
+_HIDDEN = re.compile(f"[{ZERO_WIDTH}]+")
+_FIRST = sorted({word[0] for word in SPELLED})
+_NUMBER = "|".join(f"{c}(?:{'|'.join(sorted((w[1:] for w in SPELLED if w[0] == c), key=len, reverse=True))})" for c in _FIRST)
+_SPELLED_RUN = re.compile(rf"(?=[{''.join(_FIRST)}])\b(?:{_NUMBER})\b(?:[ ,.-]{{1,3}}(?:{_NUMBER}|[0-9]++)\b){{3,}}", re.I)
 _SPELLED_ONE = re.compile(rf"\b(?:{_NUMBER})\b", re.I)
-_AT = r"\s{0,3}(?:[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]|(?<=\s)at(?=\s))\s{0,3}"
-_DOT = r"\s{0,3}(?:[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]|(?<=\s)dot(?=\s))\s{0,3}"
-_WORD = r"[A-Za-z0-9_%+-]{1,64}"
-_SPOKEN = re.compile(
-    rf"(?<![A-Za-z0-9._%+-]){_WORD}(?:(?:\.|{_DOT}){_WORD}){{0,5}}(?:@|{_AT})[A-Za-z0-9-]{{1,63}}(?:(?:\.|{_DOT})[A-Za-z0-9-]{{1,63}}){{1,6}}",
-    re.I,
-)
-_AT_ONE, _DOT_ONE = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-# What _SPOKEN asks for from its sign on, so no text that it matches is passed over.
-_SPOKEN_HINT = re.compile(
-    rf"(?:@|(?:[\[({{<]\s{{0,3}}(?:at|@)\s{{0,3}}[\])}}>]|at(?=\s))\s{{0,3}})[A-Za-z0-9-]{{1,63}}(?:\.|{_DOT})[A-Za-z0-9-]", re.I
-)
-_SPELLED_HINT = re.compile(rf"\b(?:{_NUMBER})[ ,.-]{{1,3}}(?:{_NUMBER}|[0-9]+)\b", re.I)
+_BETWEEN = re.compile(r"[ ,.-]+")
+_SIGN = re.compile(rf"@|(?<![A-Za-z0-9])(?:{'|'.join(AT_WORDS)})(?![A-Za-z0-9])", re.I)
+_BRACKETED_DOT = rf"[\[({{<]\s{{0,3}}(?:{'|'.join(DOT_WORDS)}|\.)\s{{0,3}}[\])}}>]"
+
 
+def _dot(words: str) -> str:
+    return rf"\s{{0,3}}(?:{_BRACKETED_DOT}|(?<=\s)(?:{words})(?=\s))\s{{0,3}}"
 
-class Traced:
-    """A text with, for each character, the source span it stands for."""
 
-    def __init__(self, text: str, starts: list[int], ends: list[int]):
-        self.text, self.starts, self.ends = text, starts, ends
+#: By whether the sign before is plain English "at": the dots that may follow, and those that may end a stretch.
+_DOT = {weak: re.compile(r"\.|" + _dot("dot" if weak else "|".join(DOT_WORDS)), re.I) for weak in (True, False)}
+_DOT_BEFORE = {weak: re.compile(_dot("dot" if weak else "|".join(DOT_WORDS)) + r"\Z", re.I) for weak in (True, False)}
+_LONGEST_DOT = 12 + 2 + max(map(len, DOT_WORDS))
+_LABEL = re.compile(r"[A-Za-z0-9-]++")
+_TOP = re.compile(r"[A-Za-z]{2,}")
+_WORD_CHARS = _LOCAL_CHARS - {"."}
 
-    @staticmethod
-    def plain(text: str) -> Traced:
-        return Traced(text, list(range(len(text))), list(range(1, len(text) + 1)))
+Edit = tuple[int, int, str]
 
-    def rewrite(self, edits: list[tuple[int, int, str]]) -> Traced:
-        """Replace the given stretches (in order, disjoint); each new character stands for its whole stretch."""
-        text, starts, ends, at = [], [], [], 0
+
+class Rewriting:
+    """Edits of a text, to map places after them back to places before; it holds the edits, not the text."""
+
+    def __init__(self, edits: list[Edit]):
+        self.starts, self.ends, self.old_starts, self.old_ends = (array("q") for _ in range(4))
+        shift = 0
         for a, b, new in edits:
-            text.append(self.text[at:a] + new)
-            starts += self.starts[at:a] + [self.starts[a]] * len(new)
-            ends += self.ends[at:a] + [self.ends[b - 1]] * len(new)
-            at = b
-        text.append(self.text[at:])
-        return Traced("".join(text), starts + self.starts[at:], ends + self.ends[at:])
+            self.starts.append(a + shift)
+            self.ends.append(a + shift + len(new))
+            self.old_starts.append(a)
+            self.old_ends.append(b)
+            shift += len(new) - (b - a)
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        return self.starts[start], self.ends[end - 1]
+        """What a stretch stands for; a character written by an edit stands for all that the edit replaced."""
+        k = bisect_right(self.starts, start) - 1
+        if k >= 0:
+            start = self.old_starts[k] if start < self.ends[k] else start - self.ends[k] + self.old_ends[k]
+        k = bisect_right(self.starts, end - 1) - 1
+        if k >= 0:
+            end = self.old_ends[k] if end - 1 < self.ends[k] else end - self.ends[k] + self.old_ends[k]
+        return start, end
+
+
+def _rewrite(text: str, edits: list[Edit]) -> str:
+    """Replace the given stretches, in order and disjoint."""
+    parts, at = [], 0
+    for a, b, new in edits:
+        parts += (text[at:a], new)
+        at = b
+    parts.append(text[at:])
+    return "".join(parts)
 
 
-def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
+def _hidden_edits(text: str) -> list[Edit]:
+    return [] if text.isascii() else [(m.start(), m.end(), "") for m in _HIDDEN.finditer(text)]
+
+
+def _spelled_edits(text: str) -> list[Edit]:
     edits = []
     for run in _SPELLED_RUN.finditer(text):
         last = None
         for one in _SPELLED_ONE.finditer(text, run.start(), run.end()):
             # blanks between two digits go, so that the run reads as one number
-            if last is not None and re.fullmatch(r"[ ,.-]+", text[last : one.start()]):
+            if last is not None and _BETWEEN.fullmatch(text, last, one.start()):
                 edits.append((last, one.end(), SPELLED[one[0].lower()]))
             else:
                 edits.append((one.start(), one.end(), SPELLED[one[0].lower()]))
@@ -151,42 +190,132 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def _spoken_edits(text: str) -> list[tuple[int, int, str]]:
-    edits = []
-    for m in _SPOKEN.finditer(text):
-        if "@" in m[0] and not re.search(r"[\[({<]", m[0]) and not _DOT_ONE.search(m[0]):
-            continue  # a plain address
-        if not re.search(r"(?<![A-Za-z0-9-])[A-Za-z]{2,}$", m[0]):
-            continue  # a time or a number: the last label of a domain has letters only
-        found = [(x.start(), x.end(), "@") for x in _AT_ONE.finditer(text, m.start(), m.end())]
-        found += [(x.start(), x.end(), ".") for x in _DOT_ONE.finditer(text, m.start(), m.end())]
-        edits += sorted(found)
-    kept, free = [], 0
-    for a, b, new in edits:
-        if a >= free:
-            kept.append((a, b, new))
-            free = b
-    return kept
+def _back(text: str, at: int) -> int:
+    """The place before at most three blanks that end at ``at``."""
+    stop = max(0, at - 3)
+    while at > stop and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _on(text: str, at: int) -> int:
+    stop = min(len(text), at + 3)
+    while at < stop and text[at].isspace():
+        at += 1
+    return at
+
+
+def _sign(text: str, m: re.Match) -> tuple[int, int, bool] | None:
+    """Stretch of a sign with its brackets and blanks, and whether it is a bare English word."""
+    start, end = m.span()
+    left, right = _back(text, start), _on(text, end)
+    if text[left - 1 : left] in tuple("[({<") and text[right : right + 1] in tuple("])}>"):
+        return _back(text, left - 1), _on(text, right + 1), False
+    if m[0] == "@":
+        return start, end, False
+    return (left, right, m[0].lower() == "at") if left < start and end < right else None
+
+
+def _local(text: str, free: int, end: int, weak: bool) -> list[tuple[int, int]] | None:
+    """Spelled dots of the words that end at ``end`` and are joined by dots, none if there is no word."""
+    dots: list[tuple[int, int]] = []
+    at, words = end, 0
+    while True:
+        start = at
+        while start > free and text[start - 1] in _WORD_CHARS:
+            start -= 1
+        if start == at:
+            break
+        words += 1
+        if start > free and text[start - 1] == ".":
+            at = start - 1
+            continue
+        low = max(free, start - _LONGEST_DOT)
+        spelled = _DOT_BEFORE[weak].search(text[low:start])
+        # a dot needs a word before it
+        if not spelled or low + spelled.start() <= free or text[low + spelled.start() - 1] not in _WORD_CHARS:
+            break
+        dots.append((low + spelled.start(), start))
+        at = low + spelled.start()
+    return dots[::-1] if words else None
+
+
+def _domain(text: str, at: int, weak: bool) -> tuple[list[re.Match], list[re.Match]]:
+    """Labels from ``at`` on that end with one of letters only, and the dots between them."""
+    labels, dots = [], []
+    label = _LABEL.match(text, at)
+    while label:
+        labels.append(label)
+        dot = _DOT[weak].match(text, label.end())
+        label = dot and _LABEL.match(text, dot.end())
+        if label:
+            dots.append(dot)
+    while labels and not _TOP.fullmatch(labels[-1][0]):
+        labels.pop()
+        del dots[-1:]
+    return labels, dots
+
+
+def _spoken_edits(text: str) -> list[Edit]:
+    """Signs for spelled ones, found from each sign outwards, so every stretch is looked at twice at most."""
+    edits, free = [], 0
+    for m in _SIGN.finditer(text):
+        sign = _sign(text, m) if m.start() >= free else None
+        if sign is None or sign[0] < free:
+            continue
+        start, end, weak = sign
+        labels, dots = _domain(text, end, weak)
+        spelled = [d.span() for d in dots if d[0] != "."]
+        if not dots or (weak and not spelled):
+            continue  # no domain, or prose: "it at example.com"
+        if weak and (labels[0][0].lower() in NO_DOMAIN or labels[-1][0].lower() in NO_ENDING):
+            continue
+        before = _local(text, free, start, weak)
+        if before is None or (end - start == 1 and not spelled and not before):
+            continue  # no name, or a plain address
+        edits += [(a, b, ".") for a, b in before]
+        if end - start > 1:
+            edits.append((start, end, "@"))
+        edits += [(a, b, ".") for a, b in spelled]
+        free = labels[-1].end()
+    return edits
 
 
 def find_disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Identifiers that appear only in the rewritten text, as source spans clear of the base ones."""
+    """Identifiers that appear only in the rewritten text, as source spans clear of the base ones, or addresses
+    of which a base span is the end.
+
+    A sign may have up to three blanks on each side, inside and outside its brackets; a spelled number has four
+    digits at least, parted by up to three of blank, comma, point and hyphen. A bare "at" needs a spelled dot
+    in the domain. Time and memory go with the text and its edits.
+    """
     # each rule looks at its own stretch only: what else the text holds does not switch it on
-    traced, edits = Traced.plain(text), [(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _GLYPH.finditer(text)]
-    changed = bool(edits)
-    if edits:
-        traced = traced.rewrite(edits)
-    for hint, rule in ((_SPELLED_HINT, _spelled_edits), (_SPOKEN_HINT, _spoken_edits)):
-        edits = rule(traced.text) if hint.search(traced.text) else []
+    changed = not text.isascii() and _GLYPH.search(text) is not None
+    now = text.translate(_GLYPHS) if changed else text  # one sign for one, so places stay
+    steps = []
+    for rule in (_hidden_edits, _spelled_edits, _spoken_edits):
+        edits = rule(now)
         if edits:
-            traced, changed = traced.rewrite(edits), True
-    if not changed:
+            now = _rewrite(now, edits)
+            steps.append(Rewriting(edits))
+    if not changed and not steps:
         return []
-    taken, out = [(s, e) for s, _, e in base], []
-    for start, kind, end in find(traced.text):
-        a, b = traced.source(start, end)
-        if all(b <= s or a >= e for s, e in taken):
-            out.append((a, kind, b))
+    starts, ends = array("q"), array("q")  # the base spans, merged where they touch
+    for start, _, end in base:
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    out = []
+    for start, kind, end in find(now):
+        for step in reversed(steps):
+            start, end = step.source(start, end)
+        k = bisect_right(ends, start)  # the first base stretch that ends after the start
+        clear = k == len(ends) or starts[k] >= end
+        # a disguised letter splits a name, and its rest is a plain address: the whole one is added
+        if clear or (kind == 0 and start < starts[k] and end == ends[k]):
+            out.append((start, kind, end))
     return out
 
 
@@ -216,7 +345,8 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: counts of the plain identifiers, digest of their spans, all spans, number of disguised ones.
 
     Spans are ``kind:start:end`` in characters of the source. A null text is empty; repeated rows repeat;
-    other columns are ignored.
+    other columns are ignored; an empty table gives no rows. Texts of any length take time and memory in
+    proportion to their length.
     """
     kind = documents.schema[id_col].dataType.simpleString()
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import random
 import re
+import time
 
 import oracle
 import pytest
@@ -175,16 +177,101 @@ def test_disguises_map_back_to_the_source(text, kind, span):
 
 @pytest.mark.parametrize("elsewhere", ["", " and a dash \u2013 elsewhere", " with [at] elsewhere"])
 @pytest.mark.parametrize(
-    "span", ["bob@example dot com", "bob at example.com", "bob@example [dot] com", "bob at mail.example dot com", "bob [at] one two three four.com"]
+    "span", ["bob@example dot com", "bob (at) example.com", "bob@example [dot] com", "bob at mail.example dot com", "bob [at] one two three four.com"]
 )
 def test_half_disguised_addresses_are_found_whatever_stands_elsewhere(span, elsewhere):
     text = f"write, {span}, now{elsewhere}"
     assert [(pii.KINDS[k], text[a:b]) for a, k, b in pii.find_disguised(text, pii.find(text))] == [("email", span)]
 
 
-def test_ordinary_prose_is_not_disguised_data():
-    for text in ("we met at noon. two three four people came", "look at it, dot your i", "one two three", "five at a time", "We start at 9.30 today", "it was at 36.6 then", "look at 3.5 and 4 dot 5"):
-        assert not pii.find_disguised(text, pii.find(text))
+@pytest.mark.parametrize(
+    "text",
+    ["we met at noon. two three four people came", "look at it, dot your i", "one two three", "five at a time",
+     "We start at 9.30 today", "it was at 36.6 then", "look at 3.5 and 4 dot 5", "see it at example.com", "look at the dot in the middle",
+     "at one point in time we left", "treffen um acht, neun oder zehn", "deux ou trois fois", "uno, dos y tres"],
+)
+def test_ordinary_prose_is_not_disguised_data(text):
+    assert not pii.find_disguised(text, pii.find(text))
+
+
+def test_generated_prose_holds_no_disguised_data():
+    rng = random.Random(5)
+    words = "we start at about the dot in on one two point three it look at 9.30 3.5 example.com und um acht punkt est à neuf en punto".split()
+    for _ in range(200):
+        text = " ".join("dots" if w == "dot" else w for w in rng.choices(words, k=12))
+        assert not pii.find_disguised(text, pii.find(text)), text
+
+
+#: Ways to write the signs of an address, by language.
+SIGNS = [(" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("@", " dot "), (" (ät) ", " (punkt) "), (" {at} ", "."),
+         (" klammeraffe ", " punkt "), (" arobase ", " point "), ("[arobase]", "[point]"), (" arroba ", " punto "), ("<arroba>", "<punto>")]
+NUMBERS = ["one two three four five six seven eight nine".split(), "eins zwei drei vier fünf sechs sieben acht neun".split(),
+           "un deux trois quatre cinq six sept huit neuf".split(), "uno dos tres cuatro cinco seis siete ocho nueve".split()]
+
+
+def disguised(rng):
+    """A disguised identifier and its kind."""
+    way = rng.randrange(4)
+    if way == 0:
+        at, dot = rng.choice(SIGNS)
+        return "email", f"{rng.choice(['ana', 'bo.li', 'c_d'])}{at}{rng.choice(['mail', 'my-firm'])}{dot}{rng.choice(['com', 'de', 'org'])}"
+    if way == 1:
+        return "phone", "plus " + rng.choice([" ", "-", ", "]).join(rng.choices(rng.choice(NUMBERS), k=11))
+    if way == 2:
+        plain = "jose@example.com"
+        k = rng.choice([0, 1, 2, 3])
+        return "email", plain[:k] + {"j": "ј", "o": "о", "s": "ѕ", "e": "е"}[plain[k]] + plain[k + 1 :]
+    return "email", "kim" + rng.choice(pii.ZERO_WIDTH) + "@" + rng.choice(pii.ZERO_WIDTH) + "example.org"
+
+
+def test_planted_disguises_are_found_at_their_place():
+    rng, found, false = random.Random(9), 0, 0
+    for _ in range(500):
+        kind, span = disguised(rng)
+        before, after = rng.choice([("write: ", ", soon"), ("Kontakt – ", ". Danke"), ("contact : ", " ; merci"), ("«", "»")])
+        spans = pii.find_disguised(before + span + after, pii.find(before + span + after))
+        wanted = (len(before), pii.KINDS.index(kind), len(before) + len(span))
+        found += wanted in spans
+        false += len([s for s in spans if s != wanted])
+    assert found >= 490 and false == 0
+
+
+def naive_source(edits, start, end, length):
+    starts, ends, at = [], [], 0
+    for a, b, new in [*edits, (length, length, "")]:
+        starts += [*range(at, a), *[a] * len(new)]
+        ends += [*range(at + 1, a + 1), *[b] * len(new)]
+        at = b
+    return starts[start], ends[end - 1]
+
+
+def test_places_map_back_through_edits():
+    rng = random.Random(3)
+    for _ in range(200):
+        edits, at = [], 0
+        for _ in range(rng.randrange(6)):
+            a = at + rng.randrange(3)
+            at = a + 1 + rng.randrange(3)
+            edits.append((a, at, "x" * rng.randrange(3)))
+        length = at + 4
+        size = length + sum(len(n) - (b - a) for a, b, n in edits)
+        step = pii.Rewriting(edits)
+        for start in range(size):
+            for end in range(start + 1, size + 1):
+                assert step.source(start, end) == naive_source(edits, start, end, length)
+
+
+@pytest.mark.parametrize(
+    "text", ["user.name@example.com and more about nothing – x " * 40_000, "john [at] example [dot] com, " * 60_000, "a dot " * 300_000 + "@",
+             "at " * 500_000, "one " * 500_000, "a dot b at " * 150_000, "\u200b" * 1_000_000 + "(at)", " " * 3_000_000]
+)
+def test_long_texts_take_time_in_proportion(text):
+    def seconds(part):
+        began = time.process_time()
+        pii.find_disguised(part, pii.find(part))
+        return time.process_time() - began
+
+    assert seconds(text) < 8 * seconds(text[: len(text) // 4]) + 0.5
 
 
 def test_repeated_spans(documents):
