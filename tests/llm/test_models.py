@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from docsim.llm import decontaminate, mixing, page_text, queries, token_shards, toxicity
@@ -75,33 +76,59 @@ def test_shards_round_trip_and_resume(spark, edge, sf_dir):
     tokenizer = token_shards.load_tokenizer(token_shards.TOKENIZER)
     for documents in (edge, queries.table(spark, sf_dir, "documents")):
         path = new_path(spark, "test-shards")
-        total = token_shards.write_shards(documents, path, length=64, per_shard=100)
-        rows = token_shards.read_shards(spark, path).collect()
-        assert sorted(r.slot for r in rows) == list(range(total))
-        assert all(r.slot // 100 == r.shard and len(r.record) == 128 for r in rows)
-        pieces = {}
-        for r in sorted(rows, key=lambda r: r.piece):
-            ids = token_shards.token_ids(r.record, r.n_tokens)
-            assert set(r.record[2 * r.n_tokens :]) <= {0}
-            pieces.setdefault(r.doc_id, []).append(ids)
+        total = token_shards.write_shards(documents, path, length=64, per_file=100)
+        rows = sorted(token_shards.read_index(spark, path).collect(), key=lambda r: r.slot)
+        assert [r.slot for r in rows] == list(range(total))
+        folder, pieces = token_shards.Folder(f"{path}/data"), {}
+        stored = [folder.read(token_shards.file_name(r.shard), r.offset, 128) for r in rows]
+        assert list(token_shards.records(spark, path)) == list(enumerate(stored))
+        for r, record in zip(rows, stored):
+            assert xxhash.xxh64_intdigest(record, 42) == r.checksum % 2**64
+            assert len(record) == 128 and set(record[2 * r.n_tokens :]) <= {0}
+            pieces.setdefault(r.doc_id, []).append((r.piece, token_shards.token_ids(record, r.n_tokens)))
         wanted = [r.text or "" for r in documents.select("text").collect()]
-        got = sum(len(ids) for group in pieces.values() for ids in group)
-        assert got == sum(len(token_shards.encode(tokenizer, t)) + 1 for t in wanted)
+        assert sum(r.n_tokens for r in rows) == sum(len(token_shards.encode(tokenizer, t)) + 1 for t in wanted)
         once = documents.groupBy("doc_id").count().where("count = 1 AND doc_id IS NOT NULL").select("doc_id")
         for r in documents.join(once, "doc_id").select("doc_id", "text").collect():
-            ids = [i for part in pieces[r.doc_id] for i in part]
+            ids = [i for _, part in sorted(pieces[r.doc_id]) for i in part]
             assert ids[-1] == token_shards.END and tokenizer.decode(ids[:-1]) == (r.text or "")
-        later = token_shards.read_shards(spark, path, from_slot=total // 2, per_shard=100)
-        assert sorted(r.slot for r in later.collect()) == list(range(total // 2, total))
+        for start in (1, total // 2, total - 1, total):
+            assert list(token_shards.records(spark, path, start, chunk=7)) == list(enumerate(stored))[start:]
 
 
-def test_every_file_holds_one_range_of_slots(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(token_shards, "PER_FILE", 50)
-    path = new_path(spark, "test-ranges")
-    total = token_shards.write_shards(queries.table(spark, sf_dir, "documents"), path, length=64, per_shard=200)
-    files = token_shards.read_shards(spark, path).selectExpr("input_file_name() AS f", "slot").groupBy("f").agg({"slot": "min", "*": "count"})
-    got = sorted((r["min(slot)"], r["count(1)"]) for r in files.collect())
-    assert got == [(k, min(50, total - k)) for k in range(0, total, 50)]
+def test_order_does_not_depend_on_how_the_table_is_split(spark, edge, sf_dir):
+    for documents in (edge, queries.table(spark, sf_dir, "documents")):
+        got = [
+            sorted(token_shards.materialise(table, length=64, per_file=100).collect(), key=lambda r: r.slot)
+            for table in (documents, documents.repartition(3), documents.repartition(7, "text").sortWithinPartitions("text"))
+        ]
+        assert got[0] == got[1] == got[2]
+    other = token_shards.materialise(documents, length=64, per_file=100, key=5).orderBy("slot").collect()
+    assert [(r.doc_id, r.piece) for r in other] != [(r.doc_id, r.piece) for r in got[0]]
+
+
+def test_repeated_rows_are_spread_whole(spark):
+    documents = spark.range(3000).selectExpr("CASE WHEN id < 2000 THEN 7 ELSE id END AS doc_id", "CASE WHEN id < 2000 THEN 'same' ELSE 'own ' || id END AS text")
+    got = [token_shards.materialise(t, per_file=300, hot=100).collect() for t in (documents, documents.repartition(5))]
+    assert sorted(got[0]) == sorted(got[1]) and sorted(r.slot for r in got[0]) == list(range(3000))
+    assert sum(r.doc_id == 7 for r in got[0]) == 2000
+    shards = [sum(r.shard == k for r in got[0]) for k in {r.shard for r in got[0]}]
+    assert len(shards) >= 8 and max(shards) < 1500
+
+
+def test_three_million_blanks_go_through_a_table(spark):
+    texts = [" " * 3_000_000, "\n" * 3_000_000, "x" * 300_000]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    path = new_path(spark, "test-blanks")
+    token_shards.write_shards(documents, path)
+    rows = token_shards.read_index(spark, path).orderBy("doc_id", "piece").collect()
+    folder, tokenizer = token_shards.Folder(f"{path}/data"), token_shards.load_tokenizer(token_shards.TOKENIZER)
+    for k, text in enumerate(texts):
+        ids = [
+            i for r in rows if r.doc_id == k
+            for i in token_shards.token_ids(folder.read(token_shards.file_name(r.shard), r.offset, 2 * token_shards.LENGTH), r.n_tokens)
+        ]
+        assert tokenizer.decode(ids[:-1]) == text
 
 
 def test_no_documents_no_shards(nothing):
