@@ -26,8 +26,8 @@ RATE = 0.01
 DECAY = 0.3
 SHRINK = 0.3  # pull of a vector's length towards zero, so that n-grams without evidence get no weight
 EVIDENCE = 20.0  # G-squared of an n-gram against the labels at which it has half of its say
-FEW = 20  # with fewer toxic rows than this kept out of the fit, the threshold is set by cross-fitting
-PARTS = 5
+PARTS = 3  # the threshold is set on logits of fits that each leave one part of the rows out
+MOST_BUCKETS = 4096  # bound on the buckets of a row of the sample, those with most evidence; scoring takes all
 SAMPLE = {1: 1500, 0: 3000}  # bound on the labelled rows of each class that the model is fitted on
 FOLDS = 5
 PIECE = 1 << 20
@@ -108,24 +108,20 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clean_wei
         share = np.clip(labels.mean() if len(labels) else 0.0, 0.01, 0.99)
         return Model(np.zeros(1 << BUCKET_BITS), np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
-    held = rng.random(len(labels)) < 0.15  # for the choice of the threshold only
     spread = float(np.sqrt(np.median([len(b[0]) for b in bags]) + 1))  # averaging shrinks a bag by about this
-    if labels[held].sum() >= FEW:
-        line, offset = _line(bags, labels, np.flatnonzero(~held), spread, rng)
-        values = _logits(bags, line, offset)
-        return Model(line, offset - _threshold(values[held], labels[held], values, labels, clean_weight))
     part = np.zeros(len(labels), np.int64)
     for kind in (0, 1):
         own = rng.permutation(np.flatnonzero(labels == kind))
         part[own] = np.arange(len(own)) % PARTS
     apart = np.zeros(len(labels))
     for k in range(PARTS):
-        rows = np.flatnonzero(part != k)
+        rows, out = np.flatnonzero(part != k), np.flatnonzero(part == k)
         if 0 < labels[rows].sum() < len(rows):
-            out = np.flatnonzero(part == k)
             apart[out] = _logits([bags[r] for r in out], *_line(bags, labels, rows, spread, rng))
+        elif len(rows):  # nothing to learn from one class but its share
+            apart[out] = np.log((labels[rows].sum() + 1) / (len(rows) - labels[rows].sum() + 1))
     line, offset = _line(bags, labels, np.arange(len(labels)), spread, rng)
-    return Model(line, offset - _threshold(apart, labels, _logits(bags, line, offset), labels, clean_weight))
+    return Model(line, offset - _threshold(apart, labels, clean_weight))
 
 
 def _logits(bags: list[tuple[np.ndarray, np.ndarray]], line: np.ndarray, offset: float) -> np.ndarray:
@@ -141,7 +137,12 @@ def _evidence(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, row
     texts = np.zeros((2, 1 << BUCKET_BITS))
     for k in rows:
         texts[labels[k], bags[k][0]] += 1
-    expected = texts.sum(0) * (np.bincount(labels[rows], minlength=2) / len(rows))[:, None]
+    return _say(texts, np.bincount(labels[rows], minlength=2))
+
+
+def _say(texts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same from the texts of each class that hold a bucket, and all texts of each class."""
+    expected = texts.sum(0) * (sizes / max(1, sizes.sum()))[:, None]
     ratio = np.divide(texts, expected, out=np.ones_like(texts), where=texts > 0)
     g = np.maximum(0, 2 * (texts * np.log(ratio)).sum(0))
     return (g / (g + EVIDENCE)).astype(np.float32)
@@ -190,11 +191,8 @@ def _line(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rows: n
     return (vectors @ (softmax[:, 1] - softmax[:, 0])) * known, float(bias[1] - bias[0])
 
 
-def _threshold(held: np.ndarray, held_labels: np.ndarray, values: np.ndarray, labels: np.ndarray,
-               clean_weight: float) -> float:
-    """The logit with the best F1 on the rows kept out of the fit (on all rows if these hold almost no toxic one)."""
-    if held_labels.sum() < 5:
-        held, held_labels = values, labels
+def _threshold(held: np.ndarray, held_labels: np.ndarray, clean_weight: float) -> float:
+    """The logit with the best F1 on rows that each were kept out of the fit that judges them."""
     order = np.argsort(-held, kind="stable")
     hits = np.cumsum(held_labels[order])
     false = clean_weight * np.cumsum(1 - held_labels[order])
@@ -210,15 +208,39 @@ def fold(id_col) -> "F.Column":
 
 
 _BAG = pa.schema([("buckets", pa.binary()), ("shares", pa.binary()), ("toxic", pa.int32())])
+_MET = pa.schema([("toxic", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])
 
 
-def _collector(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a task that hold a bucket, by class."""
+    texts = np.zeros((2, 1 << BUCKET_BITS), np.int64)
     for batch in stream:
         for text, toxic in values(batch.column(0), batch.column(1)):
-            buckets, shares = counts(text)
-            yield pa.RecordBatch.from_pylist(
-                [{"buckets": buckets.tobytes(), "shares": shares.tobytes(), "toxic": toxic}], schema=_BAG
-            )
+            texts[toxic, counts(text)[0]] += 1
+    kinds, found = np.nonzero(texts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(kinds.astype(np.int32)), pa.array(found.astype(np.int32)), pa.array(texts[kinds, found])], schema=_MET
+    )
+
+
+def bounded(buckets: np.ndarray, shares: np.ndarray, say: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``MOST_BUCKETS`` of a bag, those with the greatest share times evidence; shares stay those of the text."""
+    if len(buckets) <= MOST_BUCKETS:
+        return buckets, shares
+    kept = np.sort(np.argsort(-shares * say[buckets], kind="stable")[:MOST_BUCKETS])
+    return buckets[kept], shares[kept]
+
+
+def _collector(say: np.ndarray):
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for text, toxic in values(batch.column(0), batch.column(1)):
+                buckets, shares = bounded(*counts(text), say)
+                yield pa.RecordBatch.from_pylist(
+                    [{"buckets": buckets.tobytes(), "shares": shares.tobytes(), "toxic": toxic}], schema=_BAG
+                )
+
+    return run
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -227,7 +249,9 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     The sample holds the ``SAMPLE`` rows of each class with the least hash of their id, so it is bounded
     and the same on every run; its ids are broadcast. Null labels are skipped, a repeated id counts as
-    toxic if any of its labels does.
+    toxic if any of its labels does, and of several texts of an id one is taken by its hash. Long texts send
+    ``MOST_BUCKETS`` buckets to the driver, chosen by evidence that is counted over the whole sample first, so
+    the driver gets 24 kB a row at most. Empty tables give a model that scores every text alike.
     """
     sample = sample or SAMPLE
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
@@ -242,9 +266,17 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         part = marked.where(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id").limit(bound)
         chosen = part if chosen is None else chosen.union(part)
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("text", "toxic")
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic")
+    )
+    rows = written(rows.select("text", "toxic"), "labelled-texts")
+    met = rows.mapInArrow(_met, "toxic int, bucket int, n bigint").groupBy("toxic", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    texts_met = np.zeros((2, 1 << BUCKET_BITS))
+    texts_met[met.column("toxic").to_numpy(), met.column("bucket").to_numpy()] = met.column("n").to_numpy()
+    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    say = _say(texts_met, np.array([sizes.get(0, 0), sizes.get(1, 0)]))
     # bounded by the sample; an Arrow table is one copy, the bags are views of it
-    got = rows.mapInArrow(_collector, "buckets binary, shares binary, toxic int").toArrow().combine_chunks()
+    got = rows.mapInArrow(_collector(say), "buckets binary, shares binary, toxic int").toArrow().combine_chunks()
     marks = np.array(got.column("toxic").to_pylist(), np.int64)
     bags = list(zip(_views(got.column("buckets"), np.uint16), _views(got.column("shares"), np.float32)))
     # an order that does not depend on how the rows came
@@ -267,7 +299,8 @@ def score_column(model: Model, text_col: str):
 
 
 def scores(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row; repeated rows repeat."""
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row; repeated rows repeat, a null text scores as
+    an empty one, a score of exactly 0.5 counts as toxic, other columns are ignored, an empty table gives no rows."""
     rows = documents.select(F.col(id_col).alias("doc_id"), score_column(model, text_col).alias("score"))
     return rows.select(
         "doc_id",
@@ -278,5 +311,5 @@ def scores(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 
 def without_toxic(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows that score below 0.5, with their columns unchanged."""
+    """The rows that score below 0.5, with their columns unchanged; null and empty texts get the bias alone."""
     return documents.where(score_column(model, text_col) < 0.5)

@@ -186,6 +186,59 @@ def test_toxicity_learns_a_long_tail_of_insults_from_few_toxic_rows(toxic, clean
     assert sum(s >= 0.5 for s in above) >= 25 and sum(s >= 0.5 for s in below) <= 20
 
 
+def plain_buckets(text):
+    """Buckets by the definition, one n-gram at a time."""
+    factor, bits = 0x9E3779B97F4A7C15, 64 - toxicity.BUCKET_BITS
+    padded = b" " + b" ".join(text.encode().lower().split()) + b" "
+    out = []
+    for n in (3, 4, 5):
+        for k in range(len(padded) - n + 1):
+            gram = padded[k : k + n]
+            if b" " not in gram[1:-1]:
+                out.append(((int.from_bytes(gram, "big") + n) * factor % 2**64) >> bits)
+    for word in padded.split():
+        signs = toxicity.mix(np.array([c + 256 * (k + 1) for k, c in enumerate(word)], np.uint64))
+        out.append((int(signs.sum(dtype=np.uint64)) * factor % 2**64) >> bits)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("text", ["", "a", "You fool", "one two  three\nfour", "naïve Café ß", "x" * 40])
+def test_bags_and_scores_equal_a_plain_count(text):
+    wanted = plain_buckets(text)
+    assert sorted(np.concatenate(list(toxicity.bag(text))).tolist()) == wanted
+    buckets, shares = toxicity.counts(text)
+    assert buckets.tolist() == sorted(set(wanted)) and np.allclose(shares * max(1, len(wanted)), [wanted.count(b) for b in buckets])
+    weights = np.random.default_rng(4).normal(size=1 << toxicity.BUCKET_BITS)
+    mean = sum(float(np.float32(weights[b])) for b in wanted) / len(wanted) if wanted else 0
+    assert toxicity.Model(weights, -0.5).score(text) == pytest.approx(1 / (1 + math.exp(0.5 - mean)), abs=1e-6)
+
+
+def test_long_labelled_texts_send_a_bounded_bag_and_one_row_an_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_BUCKETS", 300)
+    seen = []
+    real = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda bags, labels, *rest: (seen.append((bags, labels)), real(bags, labels, *rest))[1])
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(400)]
+    rows = [(k, " ".join(rng.choices(words, k=500)) + (" vilewretch" * 3 if k % 2 else "")) for k in range(60)] * 3
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+    bags, marks = seen[0]
+    assert len(bags) == len(marks) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(60))
+    assert max(len(b) for b, _ in bags) == 300
+    clean = " ".join(rng.choices(words, k=500))
+    assert model.score(clean + " vilewretch" * 3) > model.score(clean)
+
+
+@pytest.mark.parametrize("toxic", [0, 1, 2, 4, 19, 21])
+def test_any_number_of_toxic_rows_gives_a_model(toxic):
+    texts = [f"calm words number {k} here" for k in range(60)] + [f"you vile wretch {k}" for k in range(toxic)]
+    model = toxicity.fit([toxicity.counts(t) for t in texts], np.array([0] * 60 + [1] * toxic))
+    assert 0 <= model.score("calm words here") < 1
+    if toxic >= 2:
+        assert model.score("you vile wretch") >= 0.5 > model.score("calm words here")
+
+
 def test_buckets_do_not_depend_on_cutting(monkeypatch):
     text = "some words and more words of a text " * 40
     whole = np.concatenate(list(toxicity.bag(text)))
