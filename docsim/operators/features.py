@@ -101,8 +101,11 @@ def pair_term_features(
     prepared: DataFrame, vocabulary: DataFrame, id_col: str = "pair_id"
 ) -> DataFrame:
     """Per pair and known term: ``difference`` |a - b| and ``product`` a * b of the weights."""
-    weights = W.pair_weights(W.TermTable.of(vocabulary), "processed_a", "processed_b")
-    return prepared.select(id_col, F.inline_outer(weights)).where("idx IS NOT NULL")
+    kind = prepared.schema[id_col].dataType.simpleString()
+    rows = W.pair_term_rows(W.TermTable.of(vocabulary))
+    return prepared.select(id_col, "processed_a", "processed_b").mapInArrow(
+        rows, f"`{id_col}` {kind}, idx int, difference double, product double"
+    )
 
 
 def feature_rows(

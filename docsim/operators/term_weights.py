@@ -7,7 +7,7 @@ terms unless the terms are asked for.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,10 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsim.functions.overlap import prepared_words
+from docsim.functions.overlap import prepared_words, text_slices
 
 # Characters of text that are opened into terms at once.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -45,13 +45,7 @@ class TermTable:
 
 def chunks(*texts: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
     """Slices of columns of texts with about ``CHUNK_CHARS`` characters."""
-    lengths = sum(pc.fill_null(pc.utf8_length(t), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts)
-    if not len(lengths):
-        return
-    part = np.cumsum(lengths) // CHUNK_CHARS
-    starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    for start, end in zip(starts, [*starts[1:], len(lengths)]):
-        yield tuple(t.slice(start, end - start) for t in texts)
+    return text_slices(CHUNK_CHARS, *texts)
 
 
 def gram_rows(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -138,6 +132,25 @@ def text_weights(table: TermTable, prepared_col: str) -> Column:
     return _column("array<struct<idx:int,term:string,weight:double>>", pa.list_(pa.struct(fields)), of, prepared_col)
 
 
+def pair_term_rows(table: TermTable) -> Callable:
+    """From rows ``id, processed_a, processed_b`` to rows ``id, idx, difference, product``, slice by slice.
+
+    The terms of a slice leave the task before the next is opened.
+    """
+
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            start = 0
+            for texts_a, texts_b in chunks(batch.column(1), batch.column(2)):
+                met = pair_terms(texts_a, texts_b, table)
+                ids = batch.column(0).slice(start, len(texts_a)).take(pa.array(met.rows))
+                columns = [ids, pa.array(met.idx.astype(np.int32)), pa.array(met.difference), pa.array(met.product)]
+                yield pa.RecordBatch.from_arrays(columns, names=[batch.schema.names[0], "idx", "difference", "product"])
+                start += len(texts_a)
+
+    return run
+
+
 def pair_weights(table: TermTable, col_a: str, col_b: str) -> Column:
     """``array<struct<idx, difference, product>>`` of two prepared texts, by idx."""
     fields = [pa.field("idx", pa.int32()), pa.field("difference", pa.float64()), pa.field("product", pa.float64())]
