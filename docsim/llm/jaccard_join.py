@@ -286,11 +286,27 @@ def _tries(parts: DataFrame, number: int, similarity: tuple[int, int]) -> DataFr
     return best.select(F.greatest("node", "best.other").alias("high"), F.least("node", "best.other").alias("low")).distinct()
 
 
+def _groups_once(parts: DataFrame) -> DataFrame:
+    """The rows of one key of all that have the same members, of keys whose members are of different components.
+
+    Long texts that share a passage share many segments, and under each of them the same members meet. Groups
+    are told apart by 128 bits, their number of members, and their ends.
+    """
+    hashes = [F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2")]
+    groups = parts.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"),
+        F.min("node").alias("first"), F.max("node").alias("last"), *hashes,
+    ).where("low < high")
+    once = groups.groupBy("n", "first", "last", "h1", "h2").agg(F.min("key").alias("key"))
+    return parts.join(once.select("key"), "key", "left_semi")
+
+
 def _links(held: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Links that connect all that is connected, of the members ``node`` met under ``key``, with sizes and parities ``m``.
 
     Components grow by rounds of one pair a member, as long as a round finds a link for one member in
-    ``YIELD``. Then all pairs of different components that the parities allow are opened and verified.
+    ``YIELD``. Then all pairs of different components that the parities allow are opened and verified, under one key of those
+    with the same members.
     """
     members, parts, links, tried = sets.count(), held.withColumn("part", F.col("node")), None, None
     for number in itertools.count():
@@ -302,8 +318,7 @@ def _links(held: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Dat
         parts = held.join(root, "node", "left").withColumn("part", F.coalesce("part", "node"))
         if found.count() * YIELD <= members:
             break
-    split = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    apart = written(parts.join(split.select("key"), "key", "left_semi"), "apart")
+    apart = written(_groups_once(parts), "apart")
     one, two = (apart.select("key", F.struct("node", "part", "m").alias(name)) for name in ("one", "two"))
     pairs = one.join(two, "key").where((F.col("one.part") < F.col("two.part")) & _may_link("one.m", "two.m", similarity))
     pairs = pairs.select(F.greatest("one.node", "two.node").alias("high"), F.least("one.node", "two.node").alias("low")).distinct()
