@@ -148,19 +148,14 @@ def ingest_documents(documents: DataFrame) -> DataFrame:
     The name must end with ``.pdf`` and the text must have enough content. Every step works on
     one row, so the same function serves a batch and a stream.
     """
-    tokens = (
-        documents.where(T.is_pdf_name(F.col("filename")))
-        .withColumn("tokens", T.content_tokens(F.col("raw_text")))
-        .where(F.size("tokens") >= T.MIN_DOCUMENT_TOKENS)
-    )
-    return tokens.withColumns(
+    prepared = documents.where(T.is_pdf_name(F.col("filename"))).withColumn("processed_text", T.prepare_text(F.col("raw_text")))
+    return prepared.where(T.word_count(F.col("processed_text")) >= T.MIN_DOCUMENT_TOKENS).withColumns(
         {
             "filename": T.safe_filename(F.col("filename")),
-            "processed_text": F.array_join("tokens", " "),
             "language": T.detect_language(F.col("raw_text")),
             "source_type": F.lit(UPLOAD),
         }
-    ).drop("tokens")
+    )
 
 
 def prepared_pairs(pairs: DataFrame, index_col: str = "row_idx") -> DataFrame:
