@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +10,7 @@ from pyspark.sql.window import Window
 from docsim.functions import similarity as S
 from docsim.functions import text as T
 from docsim.operators import term_weights as W
-from docsim.operators.frequent_terms import CAPACITY, frequent_terms
+from docsim.operators.frequent_terms import CAPACITY, counts_of, frequent_terms
 from docsim.operators.pairs import with_set_measures
 from docsim.session import written
 
@@ -73,7 +74,10 @@ def fit_vocabulary(
     def all_terms() -> DataFrame:
         return _terms(texts, [], S.term_bag(grams(F.col(prepared_col))))
 
-    counts = frequent_terms(texts, prepared_col, size, all_terms, capacity)
+    def some_terms(candidates: pa.Array) -> DataFrame:
+        return counts_of(texts, prepared_col, candidates)
+
+    counts = frequent_terms(texts, prepared_col, size, all_terms, capacity, some_terms)
     top = counts.orderBy(F.desc("total"), "term").limit(size)
     n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
     # at most ``size`` rows are left, so one window numbers them

@@ -24,10 +24,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsim.operators.term_weights import chunks, gram_rows
+from docsim.operators.term_weights import chunks, gram_codes
 from docsim.session import written
 
 # Terms that a task's summary is cut down to.
@@ -42,10 +43,11 @@ SCHEMA = "term string, total bigint, df bigint, slack bigint"
 
 def text_terms(texts: pa.Array) -> pa.Table:
     """``term, total, df``: words and neighbouring words of prepared texts, and the texts that have them."""
-    rows, terms = gram_rows(texts)
-    of_text = pa.table({"row": rows, "term": terms}).group_by(["row", "term"]).aggregate([([], "count_all")])
-    counted = of_text.group_by("term").aggregate([("count_all", "sum"), ([], "count_all")])
-    return counted.rename_columns(["term", "total", "df"])
+    rows, codes, terms = gram_codes(texts)
+    total = np.bincount(codes, minlength=len(terms))
+    once = pc.unique(pa.array(rows * max(len(terms), 1) + codes)).to_numpy(zero_copy_only=False)
+    df = np.bincount(once % max(len(terms), 1), minlength=len(terms))
+    return pa.table({"term": terms, "total": pa.array(total, pa.int64()), "df": pa.array(df, pa.int64())})
 
 
 def cut_counts(counts: pa.Table, capacity: int) -> tuple[pa.Table, int]:
@@ -91,13 +93,41 @@ def term_summaries(texts: DataFrame, prepared_col: str, capacity: int = CAPACITY
     return texts.select(prepared_col).coalesce(SUMMARY_TASKS).mapInArrow(_summaries(capacity), SCHEMA)
 
 
+def _counts_of(candidates: pa.Array) -> Callable:
+    """``term, total, df`` of the candidates in the texts of a task."""
+
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, df = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
+        for batch in stream:
+            for (texts,) in chunks(batch.column(0)):
+                counts = text_terms(texts)
+                at = pc.index_in(counts["term"], value_set=candidates).combine_chunks()
+                known = pc.is_valid(at).to_numpy(zero_copy_only=False)
+                at = pc.drop_null(at).to_numpy(zero_copy_only=False)
+                total[at] += counts["total"].to_numpy()[known]
+                df[at] += counts["df"].to_numpy()[known]
+        seen = np.flatnonzero(total)
+        terms = candidates.take(pa.array(seen)).cast(pa.string())
+        counted = pa.table({"term": terms, "total": pa.array(total[seen]), "df": pa.array(df[seen])})
+        yield from counted.to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
+def counts_of(texts: DataFrame, prepared_col: str, candidates: pa.Array) -> DataFrame:
+    """``term, total, df`` of the candidates: every task sums its own texts, so a term leaves it once."""
+    counted = texts.select(prepared_col).coalesce(SUMMARY_TASKS).mapInArrow(_counts_of(candidates), "term string, total bigint, df bigint")
+    return counted.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+
+
 def frequent_terms(
-    texts: DataFrame, prepared_col: str, size: int, count_all: Callable[[], DataFrame], capacity: int = CAPACITY
+    texts: DataFrame, prepared_col: str, size: int, count_all: Callable[[], DataFrame], capacity: int = CAPACITY,
+    count_some: Callable[[pa.Array], DataFrame] | None = None,
 ) -> DataFrame:
     """``term, total, df`` with exact counts, of the ``size`` most frequent terms, their ties and some more.
 
     ``count_all`` gives one row ``term, tf`` per text and term; it is used where the summaries do not settle
-    the counts.
+    the counts. ``count_some``, if given, counts candidates that are few enough to be sent to every task.
     """
     summaries = written(term_summaries(texts, prepared_col, capacity), "summaries")
     slack = summaries.agg(F.coalesce(F.sum("slack"), F.lit(0))).first()[0]
@@ -106,9 +136,14 @@ def frequent_terms(
         return summed
     summed = written(summed.select("term", "total"), "lower-bounds")
     best = summed.orderBy(F.desc("total")).limit(size).agg(F.count("*"), F.min("total")).first()
-    terms = count_all()
-    if best[0] == size and best[1] > slack:
+    settled = best[0] == size and best[1] > slack
+    small = False
+    if settled:
         candidates = summed.where(F.col("total") >= best[1] - slack).select("term")
         small = candidates.count() <= BROADCAST_TERMS
+    if small and count_some:
+        return count_some(candidates.toArrow()["term"].combine_chunks().cast(pa.large_string()))
+    terms = count_all()
+    if settled:
         terms = terms.join(F.broadcast(candidates) if small else candidates, "term", "left_semi")
     return terms.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))

@@ -48,12 +48,22 @@ def chunks(*texts: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
     return text_slices(CHUNK_CHARS, *texts)
 
 
-def gram_rows(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Row number and term of every word and every two neighbouring words of prepared texts."""
+def gram_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row and code of every word and every two neighbouring words of prepared texts, and the term of each code.
+
+    Words become numbers first, so a term that comes often is spelled out once.
+    """
     rows, words = prepared_words(texts)
+    coded = words.dictionary_encode()
+    first = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    width = len(coded.dictionary)
     inside = rows[1:] == rows[:-1]
-    pairs = pc.binary_join_element_wise(words.slice(0, max(len(words) - 1, 0)), words.slice(1), pa.scalar(" ", words.type))
-    return np.concatenate((rows, rows[1:][inside])), pa.concat_arrays([words, pairs.filter(pa.array(inside))])
+    met = pa.array((first[:-1] * width + first[1:])[inside]).dictionary_encode()
+    both = met.dictionary.to_numpy(zero_copy_only=False).astype(np.int64)
+    left, right = (coded.dictionary.take(pa.array(part)) for part in np.divmod(both, max(width, 1)))
+    pairs = pc.binary_join_element_wise(left, right, pa.scalar(" ", words.type))
+    codes = np.concatenate((first, met.indices.to_numpy(zero_copy_only=False).astype(np.int64) + width))
+    return np.concatenate((rows, rows[1:][inside])), codes, pa.concat_arrays([coded.dictionary, pairs])
 
 
 def unit_weights(texts: pa.Array, table: TermTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,10 +71,10 @@ def unit_weights(texts: pa.Array, table: TermTable) -> tuple[np.ndarray, np.ndar
 
     The weights of a row have length one.
     """
-    rows, terms = gram_rows(texts)
-    at = pc.index_in(terms, value_set=table.terms)
-    known = pc.is_valid(at).to_numpy(zero_copy_only=False)
-    at = pc.drop_null(at).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows, codes, terms = gram_codes(texts)
+    at = pc.fill_null(pc.index_in(terms, value_set=table.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)[codes]
+    known = at >= 0
+    at = at[known]
     places, first, tf = np.unique(rows[known] * table.width + table.idx[at], return_index=True, return_counts=True)
     weights = tf * table.idf[at[first]]
     norms = np.sqrt(np.bincount(places // table.width, weights=weights * weights, minlength=len(texts)))

@@ -83,3 +83,22 @@ def test_only_candidates_are_counted_in_the_second_pass(spark, monkeypatch):
 
     got = H.frequent_terms(df, "p", 10, every_term, 200)
     assert asked and {r["term"]: r["total"] for r in got.collect()} == {f"often{k:02}": 100 for k in range(20)}
+
+
+def test_candidates_leave_a_task_once(spark, monkeypatch):
+    monkeypatch.setattr(W, "CHUNK_CHARS", 200)
+    texts = ["a b a", None, "b", "a b c"] * 50
+    df = spark.createDataFrame([(t,) for t in texts], "p string").repartition(4)
+    got = {(r["term"], r["total"], r["df"]) for r in H.counts_of(df, "p", pa.array(["a", "a b", "d"], pa.large_string())).collect()}
+    total, of = counted(texts)
+    assert got == {(t, total[t], of[t]) for t in ("a", "a b")}
+    asked = []
+    words = [f"often{k:02}" for k in range(20) for _ in range(100)] + [f"rare{k}" for k in range(3000)]
+    many = spark.createDataFrame([(w,) for w in words], "p string").repartition(4)
+
+    def some(candidates):
+        asked.append(len(candidates))
+        return H.counts_of(many, "p", candidates)
+
+    found = H.frequent_terms(many, "p", 10, lambda: 1 / 0, 200, some)
+    assert asked and {r["term"]: r["total"] for r in found.collect() if r["total"] > 1} == {f"often{k:02}": 100 for k in range(20)}
