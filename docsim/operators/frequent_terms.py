@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsim.functions.overlap import prepared_words
 from docsim.operators.term_weights import chunks, gram_codes
 from docsim.session import written
 
@@ -61,27 +62,74 @@ def cut_counts(counts: pa.Table, capacity: int) -> tuple[pa.Table, int]:
     return kept.set_column(kept.column_names.index("total"), "total", lower), off
 
 
-def _summaries(capacity: int) -> Callable:
-    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = pa.table({"term": pa.array([], pa.large_string()), "total": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
-        waiting, rows, slack = [kept], 0, 0
+class _Counts:
+    """Counts of a task's terms as integers: a word is its number, two neighbouring words are both numbers in one."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.parts: list[pa.Table] = []
+        self.rows = 0
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The numbers of distinct words; new ones are added."""
+        at = pc.index_in(words, value_set=self.words)
+        new = pc.is_null(at).to_numpy(zero_copy_only=False)
+        numbers = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers[new] = len(self.words) + np.arange(np.count_nonzero(new))
+        self.words = pa.concat_arrays([self.words, words.filter(pa.array(new))])
+        return numbers
+
+    def add(self, texts: pa.Array) -> None:
+        rows, words = prepared_words(texts)
+        coded = words.dictionary_encode()
+        first = self._numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        inside = rows[1:] == rows[:-1]
+        terms = pa.array(np.concatenate((first, ((first[:-1] + 1) << 32 | first[1:])[inside]))).dictionary_encode()
+        codes, n = terms.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(terms.dictionary)
+        once = pc.unique(pa.array(np.concatenate((rows, rows[1:][inside])) * max(n, 1) + codes)).to_numpy(zero_copy_only=False)
+        totals, df = np.bincount(codes, minlength=n), np.bincount(once % max(n, 1), minlength=n)
+        self.parts.append(pa.table({"term": terms.dictionary, "total": totals, "df": df}))
+        self.rows += n
+
+    def cut(self, most: int) -> int:
+        """Sum the parts and cut them to ``most`` terms; words that no term has go. Returns what was taken off."""
+        whole = pa.concat_tables(self.parts).combine_chunks() if self.parts else pa.table({c: pa.array([], pa.int64()) for c in ("term", "total", "df")})
+        terms = whole["term"].combine_chunks().dictionary_encode()
+        codes, n = terms.indices.to_numpy(zero_copy_only=False), len(terms.dictionary)
+        # sums of integers below 2**53 are exact in doubles
+        summed = [pa.array(np.bincount(codes, weights=whole[c].to_numpy(), minlength=n).astype(np.int64)) for c in ("total", "df")]
+        kept, off = cut_counts(pa.table([terms.dictionary, *summed], names=["term", "total", "df"]), most)
+        keys = kept["term"].to_numpy()
+        left, right = (keys >> 32) - 1, keys & 0xFFFFFFFF
+        used, place = np.unique(np.concatenate((left[left >= 0], right)), return_inverse=True)
+        self.words = self.words.take(pa.array(used))
+        pairs = np.count_nonzero(left >= 0)
+        left[left >= 0] = place[:pairs]
+        self.parts = [kept.set_column(0, "term", pa.array((left + 1) << 32 | place[pairs:]))]
+        self.rows = len(kept)
+        return off
+
+    def spelled(self) -> pa.Table:
+        """The counts after a cut, with the terms as text."""
+        (kept,) = self.parts
+        keys = kept["term"].to_numpy()
+        left, right = (keys >> 32) - 1, self.words.take(pa.array(keys & 0xFFFFFFFF))
+        before = self.words.take(pa.array(left, mask=left < 0))
+        pairs = pc.binary_join_element_wise(before, right, pa.scalar(" ", right.type))
+        return kept.set_column(0, "term", pc.coalesce(pairs, right).cast(pa.string()))
 
-        def merged() -> pa.Table:
-            summed = pa.concat_tables(waiting).group_by("term").aggregate([("total", "sum"), ("df", "sum")])
-            return summed.rename_columns(["term", "total", "df"])
 
+def _summaries(capacity: int) -> Callable:
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, slack = _Counts(), 0
         for batch in stream:
             for (texts,) in chunks(batch.column(0)):
-                waiting.append(text_terms(texts))
-                rows += len(waiting[-1])
-                if rows > 2 * capacity:
-                    kept, off = cut_counts(merged(), capacity)
-                    slack += off
-                    waiting, rows = [kept], len(kept)
-        kept, off = cut_counts(merged(), 2 * capacity)
-        slack += off
-        whole = kept.select(["term", "total", "df"]).append_column("slack", pa.nulls(len(kept), pa.int64()))
-        whole = whole.set_column(0, "term", whole["term"].cast(pa.string()))
+                counts.add(texts)
+                if counts.rows > 2 * capacity:
+                    slack += counts.cut(capacity)
+        slack += counts.cut(2 * capacity)
+        kept = counts.spelled()
+        whole = kept.append_column("slack", pa.nulls(len(kept), pa.int64()))
         yield from whole.to_batches(max_chunksize=1 << 16)
         yield pa.RecordBatch.from_pylist([{"term": None, "total": 0, "df": 0, "slack": slack}], schema=whole.schema)
 

@@ -102,3 +102,17 @@ def test_candidates_leave_a_task_once(spark, monkeypatch):
 
     found = H.frequent_terms(many, "p", 10, lambda: 1 / 0, 200, some)
     assert asked and {r["term"]: r["total"] for r in found.collect() if r["total"] > 1} == {f"often{k:02}": 100 for k in range(20)}
+
+
+def test_counts_of_a_task_survive_cuts_and_lose_words_without_terms():
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices("a b c d e".split(), k=rng.randint(0, 9))) for _ in range(60)] + [None, ""]
+    counts = H._Counts()
+    for start in range(0, len(texts), 7):
+        counts.add(pa.array(texts[start : start + 7], pa.string()))
+        assert counts.cut(1000) == 0
+    total, of = counted(texts)
+    assert {tuple(r.values()) for r in counts.spelled().to_pylist()} == {(t, total[t], of[t]) for t in total}
+    assert counts.cut(1) > 0 and len(counts.words) <= 2 and len(counts.spelled()) <= 1
+    empty = H._Counts()
+    assert empty.cut(5) == 0 and len(empty.spelled()) == 0
