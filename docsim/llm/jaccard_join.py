@@ -16,8 +16,8 @@ Copies of one set are one member. Segments are sorted by range, which splits a h
 read in order. Two members of a segment are candidates only if a parity of 512 bits that goes with them allows
 it. Members first meet in rounds, each one other member that shares many segments with it and is not
 connected with it yet. Pairs of a segment are opened only for members that belong to different components by
-then, so a group of many near copies is never opened into its pairs, and no link between components is lost.
-All candidates are verified on their sets.
+then, so a group of many near copies is never opened into its pairs, and no link between components is lost. A
+pair that shares many segments is opened under one of them, or few. All candidates are verified on their sets.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ COUNTED = 1 << 16
 PARITY = 512
 #: A round that links one member in so many, or fewer, is the last.
 YIELD = 20
+#: Segments that a member takes with it, by which a pair is known to be opened elsewhere.
+LEAST = 16
 #: Shingles that a task gathers between two cuts.
 GATHERED = 1 << 20
 
@@ -301,12 +303,29 @@ def _groups_once(parts: DataFrame) -> DataFrame:
     return parts.join(once.select("key"), "key", "left_semi")
 
 
+def _opened(parts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs ``high``, ``low`` of members under one key that are of different components and may link.
+
+    Members that share one key mostly share many. Each takes its ``LEAST`` first keys along, in an order common
+    to all, and a pair is not opened under a key if these hold an earlier one of both: it is opened there. Only a pair
+    whose common keys are not among these comes more than once.
+    """
+    order = F.xxhash64("key")
+    least = parts.groupBy("node").agg(F.slice(F.array_sort(F.collect_set(order)), 1, LEAST).alias("least"))
+    rows = parts.join(least, "node")
+    one, two = (rows.select("key", F.struct("node", "part", "m", "least").alias(name)) for name in ("one", "two"))
+    earliest = F.array_min(F.array_intersect("one.least", "two.least"))
+    wanted = (F.col("one.part") < F.col("two.part")) & _may_link("one.m", "two.m", similarity) & (F.coalesce(earliest, order) >= order)
+    met = one.join(two, "key").where(wanted)
+    return met.select(F.greatest("one.node", "two.node").alias("high"), F.least("one.node", "two.node").alias("low"))
+
+
 def _links(held: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Links that connect all that is connected, of the members ``node`` met under ``key``, with sizes and parities ``m``.
 
     Components grow by rounds of one pair a member, as long as a round finds a link for one member in
-    ``YIELD``. Then all pairs of different components that the parities allow are opened and verified, under one key of those
-    with the same members.
+    ``YIELD``. Then all pairs of different components that the parities allow are opened and verified, under few of the keys
+    that they share.
     """
     members, parts, links, tried = sets.count(), held.withColumn("part", F.col("node")), None, None
     for number in itertools.count():
@@ -318,10 +337,7 @@ def _links(held: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Dat
         parts = held.join(root, "node", "left").withColumn("part", F.coalesce("part", "node"))
         if found.count() * YIELD <= members:
             break
-    apart = written(_groups_once(parts), "apart")
-    one, two = (apart.select("key", F.struct("node", "part", "m").alias(name)) for name in ("one", "two"))
-    pairs = one.join(two, "key").where((F.col("one.part") < F.col("two.part")) & _may_link("one.m", "two.m", similarity))
-    pairs = pairs.select(F.greatest("one.node", "two.node").alias("high"), F.least("one.node", "two.node").alias("low")).distinct()
+    pairs = _opened(written(_groups_once(parts), "apart"), similarity).distinct()
     return links.union(_verified(pairs.join(tried, ["high", "low"], "left_anti"), sets, similarity))
 
 
