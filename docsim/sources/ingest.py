@@ -149,7 +149,12 @@ def ingest_documents(documents: DataFrame) -> DataFrame:
     one row, so the same function serves a batch and a stream.
     """
     prepared = documents.where(T.is_pdf_name(F.col("filename"))).withColumn("processed_text", T.prepare_text(F.col("raw_text")))
-    return prepared.where(T.word_count(F.col("processed_text")) >= T.MIN_DOCUMENT_TOKENS).withColumns(
+    return as_uploads(prepared.where(T.word_count(F.col("processed_text")) >= T.MIN_DOCUMENT_TOKENS))
+
+
+def as_uploads(prepared: DataFrame) -> DataFrame:
+    """Accepted rows of ``id, filename, raw_text, processed_text`` as uploaded documents."""
+    return prepared.withColumns(
         {
             "filename": T.safe_filename(F.col("filename")),
             "language": T.detect_language(F.col("raw_text")),

@@ -2,75 +2,57 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from docsim.functions import text as T
 from docsim.sources.corpus import CorpusTable
-from docsim.sources.ingest import ingest_documents
+from docsim.sources.ingest import as_uploads
 
 # Why a row is not stored.
 NO_ID, WRONG_NAME, LITTLE_CONTENT, DUPLICATE, STORED = "no id", "name", "content", "duplicate", "stored"
-# Groups that rows without id are dealt out to.
-SPREAD = 256
 REJECT_SCHEMA = "id bigint, filename string, reason string, rows bigint, batch bigint"
-_ROW = "id bigint, filename string, raw_text string, reason string, place string"
-_COLUMNS = ["id", "filename", "raw_text", "reason", "place"]
+ACCEPTED_SCHEMA = "id bigint, row bigint, batch bigint"
 
 
 def with_reason(documents: DataFrame) -> DataFrame:
     """Rows of ``id, filename, raw_text`` with the ``reason`` not to store them, by their own content, or null.
 
-    ``place`` is the fixed order among rows of one id: by name, then by a digest of the text.
+    ``processed_text`` is the prepared text of rows with an accepted name, made once; ``place`` is the fixed order
+    among rows of one id: by name, then by a digest of the text.
     """
+    named = F.coalesce(T.is_pdf_name(F.col("filename")), F.lit(False))
+    prepared = documents.select(
+        F.col("id").cast("bigint").alias("id"), "filename", "raw_text",
+        T.prepare_text(F.when(named, F.col("raw_text"))).alias("processed_text"),
+    )
     reason = (
         F.when(F.col("id").isNull(), NO_ID)
-        .when(~F.coalesce(T.is_pdf_name(F.col("filename")), F.lit(False)), WRONG_NAME)
-        .when(~T.is_valid_document(F.col("raw_text")), LITTLE_CONTENT)
+        .when(~named, WRONG_NAME)
+        .when(T.word_count(F.col("processed_text")) < T.MIN_DOCUMENT_TOKENS, LITTLE_CONTENT)
     )
     place = F.concat_ws("|", F.coalesce("filename", F.lit("")), F.sha2(F.coalesce("raw_text", F.lit("")), 256))
-    return documents.select(F.col("id").cast("bigint").alias("id"), "filename", "raw_text", reason.alias("reason"), place.alias("place"))
+    return prepared.withColumns({"reason": reason, "place": place})
 
 
-def _first_of_id(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Of the acceptable rows of one id in a batch, all but the one to store become duplicates.
+def first_of_ids(judged: DataFrame) -> DataFrame:
+    """``id, row`` of the first acceptable row of each id: by ``place``, then by ``row``. No text is moved."""
+    firsts = judged.where("reason IS NULL").groupBy("id").agg(F.min(F.struct("place", "row")).alias("first"))
+    return firsts.select("id", "first.row")
 
-    The state says whether the id has been accepted before. The rows come in parts; only the best row so far
-    is held. Rows with a reason pass.
-    """
-    stored, best = state.exists, None
-    for part in parts:
-        rows = part[_COLUMNS]
-        bad = rows[rows["reason"].notna()]
-        if len(bad):
-            yield bad
-        good = rows[rows["reason"].isna()]
-        if not stored:
-            good = good if best is None else pd.concat([best, good])
-            good = good.sort_values("place", kind="stable")
-            best, good = good.iloc[:1], good.iloc[1:]
-        if len(good):
-            yield good.assign(reason=DUPLICATE)
-    if best is not None and len(best):
-        state.update((True,))
-        yield best
-
-
-def accepted_once(judged: DataFrame) -> DataFrame:
-    """Rows of :func:`with_reason` as a stream: of each id, the first acceptable row keeps a null reason.
-
-    First by batch, then by ``place``. The ids accepted so far are kept in Spark's state store, which grows
-    with the accepted ids. Rows without id are dealt out by their place.
+
+def _accept(judged: DataFrame, number: int, between: Column, accepted: str) -> DataFrame:
+    """``id, row`` of the rows of batch ``number`` to store, kept under ``accepted``: no id is accepted in two batches.
+
+    Of the earlier batches only ids ``between`` are read. A batch that is tried again replaces what its first try
+    kept.
     """
-    spread = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("place"), F.lit(SPREAD))).otherwise(F.lit(0))
-    grouped = judged.withColumn("spread", spread).groupBy("id", "spread")
-    return grouped.applyInPandasWithState(_first_of_id, _ROW, "accepted boolean", "append", "NoTimeout")
+    earlier = _table(judged.sparkSession, accepted, ACCEPTED_SCHEMA).where((F.col("batch") < number) & between)
+    firsts = first_of_ids(judged).join(earlier, "id", "left_anti").withColumn("batch", F.lit(number).cast("bigint"))
+    firsts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(accepted)
+    return _table(judged.sparkSession, accepted, ACCEPTED_SCHEMA).where(F.col("batch") == number).select("id", "row")
 
 
 def _count_rejects(batch: DataFrame, number: int, stored: DataFrame, rejects: str) -> None:
@@ -99,38 +81,53 @@ def stream_into_corpus(
 
     Every other row is counted under ``rejects`` (next to the corpus, if not given) with its reason, so rows
     read are documents stored plus rows rejected. A batch that is tried again after a failure is not stored
-    or counted twice. An id that the corpus held before is rejected as stored.
+    or counted twice. An id that the corpus held before is rejected as stored; one that this stream has accepted, as
+    a duplicate. The accepted ids are kept by batch as a table in the checkpoint folder, which grows with them.
     """
     rejects = rejects or f"{corpus.folder}-rejects"
 
+    accepted = f"{checkpoint.rstrip('/')}/accepted"
+
     def store(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = batch.withColumn("row", F.monotonically_increasing_id()).persist()
         try:
-            span = batch.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+            # the texts are moved once, for the rows to store; all else is decided without them
+            judged = batch.drop("raw_text", "processed_text")
+            span = judged.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
             # the id range reaches the Parquet scan and skips most of the stored files
-            stored = corpus.read().where(F.col("id").between(span["low"], span["high"])).select("id").distinct()
-            _count_rejects(batch, number, stored, rejects)
+            between = F.col("id").between(span["low"], span["high"])
+            stored = corpus.read().where(between).select("id").distinct()
+            firsts = _accept(judged, number, between, accepted)
+            again = F.when(F.col("reason").isNull() & F.col("first").isNull(), DUPLICATE).otherwise(F.col("reason"))
+            judged = judged.join(firsts.withColumn("first", F.lit(True)), ["id", "row"], "left").withColumn("reason", again)
+            _count_rejects(judged.select("id", "filename", "reason"), number, stored, rejects)
             known = _reports(batch.sparkSession, rejects).where((F.col("batch") == number) & (F.col("reason") == STORED))
-            fresh = batch.where("reason IS NULL").join(known.select("id"), "id", "left_anti").join(stored, "id", "left_anti")
-            corpus.save(ingest_documents(fresh.select("id", "filename", "raw_text")))
+            wanted = firsts.join(known.select("id"), "id", "left_anti").join(stored, "id", "left_anti")
+            fresh = batch.join(wanted, ["id", "row"], "left_semi")
+            corpus.save(as_uploads(fresh.select("id", "filename", "raw_text", "processed_text")))
         finally:
             batch.unpersist()
 
-    writer = accepted_once(with_reason(documents)).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = with_reason(documents).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def _reports(spark: SparkSession, folder: str) -> DataFrame:
+def _table(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """A stored table; no rows before it is first written."""
     try:
-        return spark.read.schema(REJECT_SCHEMA).parquet(folder)
+        return spark.read.schema(schema).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], REJECT_SCHEMA)
+            return spark.createDataFrame([], schema)
         raise
 
 
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, REJECT_SCHEMA)
+
+
 def rejected(spark: SparkSession, folder: str) -> DataFrame:
     """``id, filename, reason, rows, batch`` of all rows that were not stored."""
     return _reports(spark, folder).where("reason IS NOT NULL")

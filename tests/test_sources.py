@@ -150,6 +150,23 @@ def test_a_batch_that_is_tried_again_counts_once(spark, tmp_path):
     assert [(r["id"], r["reason"]) for r in streaming.rejected(spark, rejects).collect()] == [(2, "name")]
 
 
+def test_the_stream_calls_nothing_per_id_and_remembers_what_it_accepted(spark, tmp_path):
+    schema = "id bigint, filename string, raw_text string"
+    table, folder = C.CorpusTable(spark, str(tmp_path / "corpus"), 4), str(tmp_path / "corpus-rejects")
+    rounds = [[(1, "a.pdf", GOOD)] * 3 + [(2, "b.pdf", GOOD + " drei"), (2, "b.pdf", GOOD), (None, None, None)], [(1, "0.pdf", GOOD), (3, "c.pdf", GOOD)]]
+    for rows in rounds:
+        spark.createDataFrame(rows, schema).repartition(4).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = streaming.stream_into_corpus(stream, table, str(tmp_path / "progress"))
+        query.awaitTermination()
+        assert not query.lastProgress["stateOperators"]
+        assert table.read().where("id = 1").count() == (1 if rows is rounds[0] else 0)
+        table.delete(spark.createDataFrame([(1,)], "id bigint"))
+    got = sorted((r["id"] or 0, r["reason"], r["rows"], r["batch"]) for r in streaming.rejected(spark, folder).collect())
+    assert got == [(0, "no id", 1, 0), (1, "duplicate", 1, 1), (1, "duplicate", 2, 0), (2, "duplicate", 1, 0)]
+    assert sorted(r["id"] for r in table.read().collect()) == [2, 3]
+
+
 @pytest.mark.parametrize("ranked", [1, 7, 100_000])
 def test_the_cut_is_refined_to_any_size(spark, monkeypatch, ranked):
     rows = spark.range(900).select(F.col("id").alias("pair_id"), F.when(F.col("id") % 5 == 0, 1).when(F.col("id") % 211 == 3, None).otherwise(0).alias("label"))
