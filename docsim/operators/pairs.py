@@ -17,17 +17,17 @@ from docsim.functions.overlap import overlap_sums
 MIN_PAIR_WORDS = 2
 
 
-def with_prepared(pairs: DataFrame) -> DataFrame:
-    """Add ``processed_a``/``processed_b``.
+def with_prepared(pairs: DataFrame, languages: bool = False) -> DataFrame:
+    """Add ``processed_a``/``processed_b``, and ``language_a``/``language_b`` if asked.
 
     They come out of a generator, which Spark does not copy into the filters that read them: each text is
-    prepared once.
+    prepared once, and sent to a worker once.
     """
-    prepared = F.struct(
-        T.prepare_text(F.col("text_a")).alias("processed_a"), T.prepare_text(F.col("text_b")).alias("processed_b")
-    )
-    kept = [c for c in pairs.columns if c not in ("processed_a", "processed_b")]
-    return pairs.select(*kept, F.inline_outer(F.array(prepared)))
+    made = {"processed_a": T.prepare_text(F.col("text_a")), "processed_b": T.prepare_text(F.col("text_b"))}
+    if languages:
+        made |= {"language_a": T.detect_language(F.col("text_a")), "language_b": T.detect_language(F.col("text_b"))}
+    kept = [c for c in pairs.columns if c not in made]
+    return pairs.select(*kept, F.inline_outer(F.array(F.struct(*[value.alias(name) for name, value in made.items()]))))
 
 
 def both_long_enough() -> Column:
@@ -62,6 +62,11 @@ def with_overlap(prepared: DataFrame, processed_a: str = "processed_a", processe
     return prepared.withColumn("overlap", overlap_sums(F.col(processed_a), F.col(processed_b)))
 
 
+def with_raw_overlap(pairs: DataFrame) -> DataFrame:
+    """Add the struct ``overlap`` of the prepared ``text_a`` and ``text_b``, which stay in the worker that makes them."""
+    return pairs.withColumn("overlap", T.content_overlap(F.col("text_a"), F.col("text_b")))
+
+
 def with_scores(
     prepared: DataFrame,
     processed_a: str = "processed_a",
@@ -76,12 +81,22 @@ def with_scores(
     the words, so preparing the texts is not repeated for the filter.
     """
     overlapped = with_overlap(prepared, processed_a, processed_b)
+    return overlap_scores(overlapped, plagiarism, suspicious, min_words)
+
+
+def overlap_scores(
+    overlapped: DataFrame,
+    plagiarism: float = S.PLAGIARISM_THRESHOLD,
+    suspicious: float = S.SUSPICIOUS_THRESHOLD,
+    min_words: int = 0,
+) -> DataFrame:
+    """Rows with the struct ``overlap``, with the columns of :func:`with_scores` in its place."""
     if min_words:
         overlapped = overlapped.where(long_enough_overlap(min_words))
     scored = overlapped.withColumn("raw_score", S.pair_cosine(F.col("overlap")))
     has_text = (F.col("overlap.length_a") > 0) & (F.col("overlap.length_b") > 0)
     return scored.select(
-        *prepared.columns, *S.score_columns(F.col("raw_score"), has_text, plagiarism, suspicious)
+        *[c for c in overlapped.columns if c != "overlap"], *S.score_columns(F.col("raw_score"), has_text, plagiarism, suspicious)
     )
 
 

@@ -148,24 +148,20 @@ def ingest_documents(documents: DataFrame) -> DataFrame:
     The name must end with ``.pdf`` and the text must have enough content. Every step works on
     one row, so the same function serves a batch and a stream.
     """
-    prepared = documents.where(T.is_pdf_name(F.col("filename"))).withColumn("processed_text", T.prepare_text(F.col("raw_text")))
+    prepared = documents.where(T.is_pdf_name(F.col("filename"))).withColumns(
+        {"processed_text": T.prepare_text(F.col("raw_text")), "language": T.detect_language(F.col("raw_text"))}
+    )
     return as_uploads(prepared.where(T.word_count(F.col("processed_text")) >= T.MIN_DOCUMENT_TOKENS))
 
 
 def as_uploads(prepared: DataFrame) -> DataFrame:
-    """Accepted rows of ``id, filename, raw_text, processed_text`` as uploaded documents."""
-    return prepared.withColumns(
-        {
-            "filename": T.safe_filename(F.col("filename")),
-            "language": T.detect_language(F.col("raw_text")),
-            "source_type": F.lit(UPLOAD),
-        }
-    )
+    """Accepted rows of ``id, filename, raw_text, processed_text, language`` as uploaded documents."""
+    return prepared.withColumns({"filename": T.safe_filename(F.col("filename")), "source_type": F.lit(UPLOAD)})
 
 
-def prepared_pairs(pairs: DataFrame, index_col: str = "row_idx") -> DataFrame:
-    """Pairs with prepared texts, a 1-based row number and whether the row will be saved."""
-    return with_prepared(pairs).withColumns(
+def prepared_pairs(pairs: DataFrame, index_col: str = "row_idx", languages: bool = False) -> DataFrame:
+    """Pairs with prepared texts (and their languages), a 1-based row number and whether the row will be saved."""
+    return with_prepared(pairs, languages).withColumns(
         {
             "row_number": (F.col(index_col) + 1).cast("bigint"),
             "saved": both_long_enough(),
@@ -179,7 +175,7 @@ def ingest_pairs(pairs: DataFrame, first_id: int = 0, index_col: str = "row_idx"
     Numbers in names count skipped rows too. ``uploaded_at`` is left to the caller; side B is
     saved after side A, and ids follow that order.
     """
-    accepted = prepared_pairs(pairs, index_col).where("saved")
+    accepted = prepared_pairs(pairs, index_col, languages=True).where("saved")
 
     def side(letter: str, offset: int) -> Column:
         raw, prepared = f"text_{letter.lower()}", f"processed_{letter.lower()}"
@@ -188,7 +184,7 @@ def ingest_pairs(pairs: DataFrame, first_id: int = 0, index_col: str = "row_idx"
             F.format_string(f"dataset_%03d_{letter}.txt", "row_number").alias("filename"),
             F.col(raw).alias("raw_text"),
             F.col(prepared).alias("processed_text"),
-            T.detect_language(F.col(raw)).alias("language"),
+            F.col(f"language_{letter.lower()}").alias("language"),
         )
 
     return accepted.select(

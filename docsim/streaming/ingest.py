@@ -20,13 +20,13 @@ ACCEPTED_SCHEMA = "id bigint, row bigint, batch bigint"
 def with_reason(documents: DataFrame) -> DataFrame:
     """Rows of ``id, filename, raw_text`` with the ``reason`` not to store them, by their own content, or null.
 
-    ``processed_text`` is the prepared text of rows with an accepted name, made once; ``place`` is the fixed order
-    among rows of one id: by name, then by a digest of the text.
+    ``processed_text`` and ``language`` are made here, once; ``place`` is the fixed order among rows of one id: by
+    name, then by a digest of the text.
     """
     named = F.coalesce(T.is_pdf_name(F.col("filename")), F.lit(False))
     prepared = documents.select(
         F.col("id").cast("bigint").alias("id"), "filename", "raw_text",
-        T.prepare_text(F.when(named, F.col("raw_text"))).alias("processed_text"),
+        T.prepare_text(F.col("raw_text")).alias("processed_text"), T.detect_language(F.col("raw_text")).alias("language"),
     )
     reason = (
         F.when(F.col("id").isNull(), NO_ID)
@@ -104,7 +104,7 @@ def stream_into_corpus(
             known = _reports(batch.sparkSession, rejects).where((F.col("batch") == number) & (F.col("reason") == STORED))
             wanted = firsts.join(known.select("id"), "id", "left_anti").join(stored, "id", "left_anti")
             fresh = batch.join(wanted, ["id", "row"], "left_semi")
-            corpus.save(as_uploads(fresh.select("id", "filename", "raw_text", "processed_text")))
+            corpus.save(as_uploads(fresh.select("id", "filename", "raw_text", "processed_text", "language")))
         finally:
             batch.unpersist()
 
