@@ -13,8 +13,8 @@ from docsim.functions.rounding import round_even
 from docsim.functions.rows import head_rows
 from docsim.functions.similarity import pair_cosine
 from docsim.operators.pairs import (
-    MIN_PAIR_WORDS, evaluable, long_enough_overlap, usable_label, with_overlap, with_prepared,
-    with_scores,
+    MIN_PAIR_WORDS, evaluable, long_enough_overlap, overlap_scores, usable_label, with_prepared,
+    with_raw_overlap, with_scores,
 )
 
 # Default threshold, sweep, list lengths, class names and messages.
@@ -114,8 +114,8 @@ def classification_report(counts: DataFrame) -> DataFrame:
 
 
 def scored_examples(pairs: DataFrame) -> DataFrame:
-    """Usable pairs with their scores."""
-    return with_scores(with_prepared(pairs.where(usable_label())), min_words=MIN_PAIR_WORDS)
+    """Usable pairs with their scores; prepared texts are not kept."""
+    return overlap_scores(with_raw_overlap(pairs.where(usable_label())), min_words=MIN_PAIR_WORDS)
 
 
 def evaluation_counts(pairs: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
@@ -123,7 +123,7 @@ def evaluation_counts(pairs: DataFrame, threshold: float = DEFAULT_THRESHOLD) ->
 
     One pass over the pairs, so evaluated and skipped rows come from the same read.
     """
-    overlapped = with_overlap(with_prepared(pairs).select("label", "processed_a", "processed_b"))
+    overlapped = with_raw_overlap(pairs).select("label", "overlap")
     used = F.when(usable_label() & long_enough_overlap(), F.col("label"))
     score = round_even(pair_cosine(F.col("overlap")), 4)
     judged = overlapped.select(

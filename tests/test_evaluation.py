@@ -1,6 +1,7 @@
 import pytest
 
 from docsim.operators import evaluation as E
+from docsim.operators import pairs as P
 from docsim.plans import inputs
 
 
@@ -54,3 +55,15 @@ def test_sweep_values_are_whole_hundredths():
     for wrong in ((0.1, 0.6, 0.005), (0.1, 0.6, 0.0), (0.1, 0.6, -0.01), (0.6, 0.1, 0.01), (-0.1, 0.6, 0.01), (0.1, 1.1, 0.01)):
         with pytest.raises(ValueError):
             E.sweep_values(*wrong)
+
+
+def test_a_sweep_keeps_prepared_texts_in_one_worker(spark):
+    texts = ["Él la casa http://x.y verde", "casa verde casa grande", "", None, "árbol verde uno dos", "  "]
+    rows = [(k, a, b, (k + j) % 2) for k, a in enumerate(texts) for j, b in enumerate(texts)]
+    pairs = spark.createDataFrame(rows, "row_idx bigint, text_a string, text_b string, label int")
+    scored = E.scored_examples(pairs)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    prepared = P.with_scores(P.with_prepared(pairs), min_words=P.MIN_PAIR_WORDS)
+    columns = ["row_idx", "text_a", "text_b", "label", "similarity_score", "status"]
+    assert sorted(map(str, scored.select(columns).collect())) == sorted(map(str, prepared.select(columns).collect()))
+    assert scored.count() == 9
