@@ -90,6 +90,7 @@ def stream_into_corpus(
 
     def store(batch: DataFrame, number: int) -> None:
         batch = batch.withColumn("row", F.monotonically_increasing_id()).persist()
+        left_out = None
         try:
             # the texts are moved once, for the rows to store; all else is decided without them
             judged = batch.drop("raw_text", "processed_text")
@@ -103,10 +104,15 @@ def stream_into_corpus(
             _count_rejects(judged.select("id", "filename", "reason"), number, stored, rejects)
             known = _reports(batch.sparkSession, rejects).where((F.col("batch") == number) & (F.col("reason") == STORED))
             wanted = firsts.join(known.select("id"), "id", "left_anti").join(stored, "id", "left_anti")
-            fresh = batch.join(wanted, ["id", "row"], "left_semi")
+            # those left out are few as a rule: once counted, Spark knows their size, and does not move the texts to join them
+            left_out = batch.where("reason IS NULL").select("id", "row").join(wanted, ["id", "row"], "left_anti").select("row").persist()
+            left_out.count()
+            fresh = batch.where("reason IS NULL").join(left_out, "row", "left_anti")
             corpus.save(as_uploads(fresh.select("id", "filename", "raw_text", "processed_text", "language")))
         finally:
             batch.unpersist()
+            if left_out is not None:
+                left_out.unpersist()
 
     writer = with_reason(documents).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
