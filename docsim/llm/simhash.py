@@ -104,7 +104,8 @@ def near_codes(codes: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     )
     off = rows.where("bit = 0").select("key", "byte", "cut", "place", F.col("code").alias("a"))
     on = rows.where("bit = 1 OR place = 32").select("key", "byte", "cut", F.col("code").alias("b"))
-    pairs = off.join(on, ["key", "byte", "cut"]).where(f"bit_count(a ^ b) <= {MAX_DISTANCE} AND (place < 32 OR a < b)")
+    # Spark takes the 33 rows and more of a code for one row when it looks for a side to broadcast
+    pairs = off.join(on.hint("merge"), ["key", "byte", "cut"]).where(f"bit_count(a ^ b) <= {MAX_DISTANCE} AND (place < 32 OR a < b)")
     return pairs.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
 
 

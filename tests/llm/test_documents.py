@@ -9,6 +9,7 @@ import time
 import oracle
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from docsim.llm import licences, pii, quality_rules, queries, repeated_spans, simhash
 
@@ -85,6 +86,13 @@ def test_links_of_near_codes_are_complete_with_and_without_cut_buckets(spark, ho
     assert got == {(a, b) for a in signed for b in signed if a > b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+def test_index_rows_of_codes_are_never_broadcast(spark):
+    codes = spark.range(2_000).select(F.xxhash64("id").alias("code"))
+    plan = simhash.near_codes(codes)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[key#\d+L, byte#\d+, cut#\d+L\]", plan), plan
+    assert not re.search(r"BroadcastHashJoin \[key#\d+L, byte", plan), plan
+
+
 def test_keep_one_keeps_one_row_of_each_group(documents):
     kept = simhash.keep_one(documents)
     assert kept.columns == documents.columns
