@@ -74,6 +74,22 @@ def test_a_lookup_reads_one_bucket_with_a_bloom_filter(spark, stored):
     assert offsets["id"] > 0 > offsets["filename"]
 
 
+def test_texts_are_stored_without_being_moved(spark, tmp_path):
+    table = C.CorpusTable(spark, str(tmp_path / "corpus"), 4)
+    rows = spark.range(0, 200, 1, 3).selectExpr("id", "concat('f', id) AS filename", "repeat('t ', 500) AS raw_text", "'p' AS processed_text")
+    assert "Exchange" not in plan_of(table._placed(C.corpus_rows(rows)))
+    table.save(rows)
+    files = files_under(table.folder)
+    assert len(files) == 12 and all(f.endswith(".zstd.parquet") for f in files)
+    assert table.delete(spark.createDataFrame([(k,) for k in range(0, 200, 3)], "id bigint")) == 67
+    assert sorted(r["id"] for r in table.read().select("id").collect()) == [k for k in range(200) if k % 3]
+
+
+def test_pairs_move_no_text_that_they_do_not_show(spark, sf_dir):
+    plan = inputs.labelled_pairs(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"THEN null ELSE next_text#\d+ END AS next_text", plan[plan.index("RepartitionByExpression") :]), plan
+
+
 def test_another_number_of_buckets_is_an_error(spark, stored):
     with pytest.raises(ValueError):
         C.CorpusTable(spark, stored.folder, 4).read()
